@@ -31,24 +31,20 @@ def _null_text(value: Column) -> Column:
     return F.nullif(value, F.lit(NULL_TEXT))
 
 
-def _whole_number(value: Column, type_name: str) -> Column:
-    return F.when(value.rlike(WHOLE_NUMBER), value.try_cast(type_name))
+def feature_parts(value: Column) -> Column:
+    """Parts of a ``:``-separated list without trailing empty parts."""
+    ended = F.rtrim(value, F.lit(":"))
+    only_colons = (ended == "") & (value != "")
+    return F.when(only_colons, F.array().cast("array<string>")).otherwise(F.split(ended, ":"))
 
 
-def split_features(value: Column, drop_all_null: bool = False) -> Column:
-    """Sorted parts of a ``:``-separated list without trailing empty parts.
-
-    One part ``null`` is dropped, or every one with ``drop_all_null``.
-    """
-    no_parts = F.array().cast("array<string>")
-    parts = F.when(value.rlike("^:+$"), no_parts).otherwise(
-        F.sort_array(F.split(F.regexp_replace(value, ":+$", ""), ":"))
-    )
-    if drop_all_null:
+def without_null(parts: Column, every: bool = False) -> Column:
+    """Sorted parts without the first ``null``, or without every one."""
+    if every:
         return F.array_remove(parts, NULL_TEXT)
     found = F.array_position(parts, NULL_TEXT).cast("int")
-    without = F.concat(F.slice(parts, 1, found - 1), F.slice(parts, found + 1, F.size(parts)))
-    return F.when(found > 0, without).otherwise(parts)
+    rest = F.concat(F.slice(parts, 1, found - 1), F.slice(parts, found + 1, F.size(parts)))
+    return F.when(F.array_contains(parts, NULL_TEXT), rest).otherwise(parts)
 
 
 def carfax_flag(value: Column) -> Column:
@@ -56,64 +52,78 @@ def carfax_flag(value: Column) -> Column:
     return F.lower(F.replace(value, F.lit("t"), F.lit("true"))) == "true"
 
 
-def _parsed(df: DataFrame, line: str, strict_last_field: bool, drop_all_null: bool, numeric: str) -> DataFrame:
-    fields = df.select(
-        F.col(line).alias("line"), F.split(F.regexp_replace(F.col(line), r"\t+$", ""), r"\t").alias("fields")
-    )
+def _field(name: str) -> Column:
+    return F.get("fields", F.lit(LOG_FIELDS.index(name)))
 
-    def field(name: str) -> Column:
-        return F.get("fields", F.lit(LOG_FIELDS.index(name)))
 
-    event = F.split(field("event"), " ", 2)
-    raw_type, raw_subtype = F.get(event, F.lit(0)), F.get(event, F.lit(1))
-    event_type = F.upper(_null_text(raw_type))
-    event_subtype = F.upper(F.replace(_null_text(raw_subtype), F.lit(" "), F.lit("_")))
-    cab_style = F.substring_index(_null_text(field("cab_style")), " ", 1)
-    year_type, price_type, mileage_type = NUMERIC[numeric]
-    year = _whole_number(field("year"), year_type)
-    price = field("price").try_cast(price_type)
-    mileage = _whole_number(field("mileage"), mileage_type)
-    last = F.get("fields", F.size("fields") - 1) if strict_last_field else field("features")
-    features = F.coalesce(split_features(last, drop_all_null), F.array().cast("array<string>"))
+def _reason(event_type: Column, event_subtype: Column, numbers: dict[str, Column]) -> Column:
+    """Why the line cannot be an event; NULL if it can."""
 
     def unknown(value: Column, symbols: tuple[str, ...]) -> Column:
-        return value.isNotNull() & ~value.isin(*symbols)
+        return (value != NULL_TEXT) & ~value.isin(*symbols)
+
+    def not_whole(name: str) -> Column:
+        return ~_field(name).rlike(WHOLE_NUMBER) | numbers[name].isNull()
 
-    reason = (
+    cab_style = _field("cab_style")
+    return (
         F.when(F.size("fields") < len(LOG_FIELDS) - 1, "too few fields")
-        .when(raw_subtype.isNull(), "event without subtype")
-        .when(unknown(event_type, EVENT_TYPES), "unknown event type")
-        .when(unknown(event_subtype, EVENT_SUBTYPES), "unknown event subtype")
-        .when(unknown(_null_text(field("vehicle_condition")), CONDITIONS), "unknown condition")
-        .when(year.isNull(), "year is not a whole number")
-        .when(unknown(_null_text(field("body_style")), BODY_STYLES), "unknown body style")
-        .when(_null_text(field("cab_style")).isNotNull() & ~field("cab_style").contains(" "), "cab style without a space")
-        .when(unknown(cab_style, CAB_STYLES), "unknown cab style")
-        .when(price.isNull(), "price is not a number")
-        .when(mileage.isNull(), "mileage is not a whole number")
+        .when(~_field("event").contains(" "), "event without subtype")
+        .when(event_type.isNotNull() & ~event_type.isin(*EVENT_TYPES), "unknown event type")
+        .when(event_subtype.isNotNull() & ~event_subtype.isin(*EVENT_SUBTYPES), "unknown event subtype")
+        .when(unknown(_field("vehicle_condition"), CONDITIONS), "unknown condition")
+        .when(not_whole("year"), "year is not a whole number")
+        .when(unknown(_field("body_style"), BODY_STYLES), "unknown body style")
+        .when((cab_style != NULL_TEXT) & ~cab_style.contains(" "), "cab style without a space")
+        .when(unknown(F.substring_index(cab_style, " ", 1), CAB_STYLES), "unknown cab style")
+        .when(numbers["price"].isNull(), "price is not a number")
+        .when(not_whole("mileage"), "mileage is not a whole number")
     )
-    record = F.struct(
-        reason.alias("reason"),
-        field("user_id").alias("user_id"),
+
+
+def _fields(df: DataFrame, line: str) -> DataFrame:
+    """line, fields: the tab-separated fields without trailing empty ones."""
+    fields = F.split(F.regexp_replace(F.col(line), "\t+$", ""), "\t")
+    # Generated rather than projected, so that later filters use the array and do not split the line again.
+    return df.select(F.col(line).alias("line"), F.explode(F.array(fields)).alias("fields"))
+
+
+def _parsed(df: DataFrame, line: str, strict_last_field: bool, drop_all_null: bool, numeric: str) -> DataFrame:
+    event = _field("event")
+    last = F.get("fields", F.size("fields") - 1) if strict_last_field else _field("features")
+    parts = F.sort_array(F.coalesce(feature_parts(last), F.array().cast("array<string>")))
+    raw = _fields(df, line).select("*", F.instr(event, " ").alias("blank"), parts.alias("parts"))
+    raw_type = F.substring_index(event, " ", 1)
+    raw_subtype = F.substr(event, F.col("blank") + 1)
+    event_type = F.upper(_null_text(raw_type))
+    event_subtype = F.upper(F.translate(_null_text(raw_subtype), " ", "_"))
+    year_type, price_type, mileage_type = NUMERIC[numeric]
+    numbers = {
+        "year": _field("year").try_cast(year_type),
+        "price": _field("price").try_cast(price_type),
+        "mileage": _field("mileage").try_cast(mileage_type),
+    }
+    return raw.select(
+        "line",
+        _reason(event_type, event_subtype, numbers).alias("reason"),
+        _field("user_id").alias("user_id"),
         event_type.alias("event_type"),
         event_subtype.alias("event_subtype"),
-        field("event_timestamp").alias("event_time"),
-        field("city").alias("city"),
-        field("vin").alias("vin"),
-        _null_text(field("vehicle_condition")).alias("condition"),
-        year.alias("year"),
-        field("make").alias("make"),
-        field("model").alias("model"),
-        field("trim").alias("trim"),
-        _null_text(field("body_style")).alias("body_style"),
-        cab_style.alias("cab_style"),
-        price.alias("price"),
-        mileage.alias("mileage"),
-        carfax_flag(field("free_carfax_report")).alias("free_carfax_report"),
-        features.alias("features"),
+        _field("event_timestamp").alias("event_time"),
+        _field("city").alias("city"),
+        _field("vin").alias("vin"),
+        _null_text(_field("vehicle_condition")).alias("condition"),
+        numbers["year"].alias("year"),
+        _field("make").alias("make"),
+        _field("model").alias("model"),
+        _field("trim").alias("trim"),
+        _null_text(_field("body_style")).alias("body_style"),
+        F.substring_index(_null_text(_field("cab_style")), " ", 1).alias("cab_style"),
+        numbers["price"].alias("price"),
+        numbers["mileage"].alias("mileage"),
+        carfax_flag(_field("free_carfax_report")).alias("free_carfax_report"),
+        without_null(F.col("parts"), drop_all_null).alias("features"),
     )
-    # Generated rather than projected, so that the filter on the reason does not repeat the parsing.
-    return fields.select("line", F.inline(F.array(record)))
 
 
 def parse_session_log(
@@ -139,14 +149,15 @@ def parse_session_log(
 
 
 def raw_events(df: DataFrame, line: str) -> DataFrame:
-    """user_id, city, event_type, event_subtype, event_time, vin as written, without checks beyond their presence."""
-    fields = F.split(F.col(line), r"\t")
-    event = F.split(F.get(fields, F.lit(1)), " ", 2)
-    return df.select(
-        F.get(fields, F.lit(0)).alias("user_id"),
-        F.get(fields, F.lit(3)).alias("city"),
-        F.get(event, F.lit(0)).alias("event_type"),
-        F.get(event, F.lit(1)).alias("event_subtype"),
-        F.get(fields, F.lit(2)).alias("event_time"),
-        F.get(fields, F.lit(4)).alias("vin"),
-    ).dropna(subset=["event_subtype", "vin"])
+    """user_id, city, event_type, event_subtype, event_time, vin as written; lines without a subtype or vin drop."""
+    present = F.col("vin").isNotNull() & F.contains(_field("event"), F.lit(" "))
+    fields = _fields(df, line).withColumn("vin", _field("vin")).filter(present)
+    event = _field("event")
+    return fields.select(
+        _field("user_id").alias("user_id"),
+        _field("city").alias("city"),
+        F.substring_index(event, " ", 1).alias("event_type"),
+        F.substr(event, F.instr(event, " ") + 1).alias("event_subtype"),
+        _field("event_timestamp").alias("event_time"),
+        "vin",
+    )

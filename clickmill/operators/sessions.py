@@ -18,38 +18,49 @@ def _ordered_fields(events: DataFrame, keys: Sequence[str], order: Sequence[str]
     return [*order, *[c for c in events.columns if c not in keys and c not in order]]
 
 
-def sessionize(
-    events: DataFrame,
-    keys: Sequence[str] = ("user_id",),
-    order: Sequence[str] = BY_TIME,
-    dedupe: bool = True,
-    split_rows: int = SPLIT_ROWS,
+def event_runs(
+    events: DataFrame, keys: Sequence[str] = ("user_id",), order: Sequence[str] = BY_TIME, dedupe: bool = True
 ) -> DataFrame:
-    """One row per distinct event with ``start``, its 0-based position in the session, and ``copies``.
+    """keys, event fields (sort fields first), copies: one row per distinct event of a session.
 
-    Equal events count once with ``dedupe``; without it an event that occurs n times has copies = n and takes the
-    positions start .. start + n - 1.
+    Equal events count once with ``dedupe``; without it an event that occurs n times has copies = n.
     """
-    fields = _ordered_fields(events, keys, order)
-    rows = events.select(*keys, *fields)
+    rows = events.select(*keys, *_ordered_fields(events, keys, order))
     if dedupe:
-        runs = rows.distinct().withColumn("copies", F.lit(1).cast("bigint"))
-    else:
-        runs = rows.groupBy(*keys, *fields).agg(F.count(F.lit(1)).alias("copies"))
-    return place(runs, keys, fields, None if dedupe else "copies", split_rows)
+        return rows.distinct().withColumn("copies", F.lit(1).cast("bigint"))
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def keep_sessions(runs: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the sessions named in ``kept``, which holds each session once.
+
+    Comes after ``event_runs``, so the copies of an event are one row here, and before ``place``, which
+    shuffles anyway; adaptive execution can therefore split a large session over several join tasks.
+    """
+    return runs.join(kept.select(*keys), list(keys), "left_semi")
+
+
+def sessionize(
+    runs: DataFrame, keys: Sequence[str] = ("user_id",), dedupe: bool = True, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """The event runs with ``start``, their 0-based position in the session.
+
+    A run of n equal events takes the positions start .. start + n - 1. Give ``dedupe`` as for ``event_runs``.
+    """
+    order = [c for c in runs.columns if c not in keys and c != "copies"]
+    return place(runs, keys, order, None if dedupe else "copies", split_rows)
 
 
 def session_lists(
-    events: DataFrame,
+    runs: DataFrame,
     keys: Sequence[str] = ("user_id",),
-    order: Sequence[str] = BY_TIME,
     dedupe: bool = True,
     page_size: int = PAGE_SIZE,
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """keys, page, events: each session as sorted arrays of at most ``page_size`` events."""
-    fields = [c for c in events.columns if c not in keys]
-    placed = sessionize(events, keys, order, dedupe, split_rows)
+    fields = [c for c in runs.columns if c not in keys and c != "copies"]
+    placed = sessionize(runs, keys, dedupe, split_rows)
     return paged(placed, keys, F.struct(*fields), "events", None if dedupe else "copies", page_size)
 
 
@@ -94,8 +105,3 @@ def session_text(events: Column) -> Column:
         ),
     )
     return F.concat(F.lit("["), F.array_join(shown, ", "), F.lit("]"))
-
-
-def keep_sessions(events: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The events of the sessions named in ``kept``."""
-    return events.join(kept.select(*keys), list(keys), "left_semi")

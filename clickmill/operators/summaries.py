@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickmill.operators.sessionlog import feature_parts
+
 # The fields whose values are counted; the last one is a ``:``-separated list.
 COUNTED_FIELDS = (
     "event_type", "city", "vehicle_condition", "year", "make", "model", "trim", "body_style",
@@ -49,9 +51,7 @@ def event_statistics(df: DataFrame) -> DataFrame:
 
 def _list_values(name: str) -> Column:
     """``name:part`` for the parts of a ``:``-separated list, without trailing empty parts."""
-    parts = F.split(F.regexp_replace(name, ":+$", ""), ":")
-    parts = F.when(F.col(name).rlike("^:+$"), F.array().cast("array<string>")).otherwise(parts)
-    return F.transform(parts, lambda part: F.concat(F.lit(f"{name}:"), part))
+    return F.transform(feature_parts(F.col(name)), lambda part: F.concat(F.lit(f"{name}:"), part))
 
 
 def field_value_counts(

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickmill.sources.readers import spread
+
 TYPES = ("change", "click", "display", "edit", "show", "submit", "visit")
 SUBTYPES = (
     "alternative", "badges", "badge detail", "contact banner", "contact button", "contact form",
@@ -125,7 +127,7 @@ BASE_TABLES = ("customer", "documents", "events", "lineitem", "orders", "part",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

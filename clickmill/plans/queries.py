@@ -116,14 +116,14 @@ def field_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sessions.sessionize(_events(spark, sf_dir, inputs.RESENT_LOG))
+    found = sessions.sessionize(sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG)))
     return found.drop("copies").withColumnRenamed("start", "pos").withColumn("features", F.array_join("features", ":"))
 
 
 @query
 def session_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions as nested lists, rendered as text."""
-    pages = sessions.session_lists(_events(spark, sf_dir, inputs.RESENT_LOG))
+    pages = sessions.session_lists(sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG)))
     text = sessions.session_text(F.col("events"))
     return pages.select("user_id", "page", F.size("events").alias("n_events"), text.alias("events"))
 
@@ -175,8 +175,8 @@ def user_city_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _city_events(spark, sf_dir)
     labelled = classify.shower_sessions(events, USER_CITY)
     kept = keyed_sample(labelled, "session_type", USER_CITY, {"shower": classify.SHOWER_RATE}, inclusive=True)
-    left = sessions.keep_sessions(events, kept, USER_CITY)
-    pages = sessions.session_lists(left, USER_CITY, USER_CITY_ORDER, dedupe=False)
+    runs = sessions.event_runs(events, USER_CITY, USER_CITY_ORDER, dedupe=False)
+    pages = sessions.session_lists(sessions.keep_sessions(runs, kept, USER_CITY), USER_CITY, dedupe=False)
     text = sessions.session_text(F.col("events"))
     return pages.select(
         "user_id", "city", "page", F.size("events").alias("n_events"), text.alias("events")

@@ -16,6 +16,12 @@ SESSION_SCHEMA = """
 """
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt out to all of them; larger ones as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """value: text lines of one path, a comma-separated list of paths, or a sequence of paths."""
     listed = paths.split(",") if isinstance(paths, str) else list(paths)
