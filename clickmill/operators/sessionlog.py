@@ -83,7 +83,7 @@ def _reason(event_type: Column, event_subtype: Column, numbers: dict[str, Column
 
 def _fields(df: DataFrame, line: str) -> DataFrame:
     """line, fields: the tab-separated fields without trailing empty ones."""
-    fields = F.split(F.regexp_replace(F.col(line), "\t+$", ""), "\t")
+    fields = F.split(F.rtrim(F.col(line), F.lit("\t")), "\t")
     # Generated rather than projected, so that later filters use the array and do not split the line again.
     return df.select(F.col(line).alias("line"), F.explode(F.array(fields)).alias("fields"))
 

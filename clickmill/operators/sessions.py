@@ -11,6 +11,7 @@ from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, paged, place
 
 BY_TIME = ("event_time", "event_type")
 MAX_EVENTS = 100
+JOIN_PARTS = 32
 
 
 def _ordered_fields(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -23,21 +24,24 @@ def event_runs(
 ) -> DataFrame:
     """keys, event fields (sort fields first), copies: one row per distinct event of a session.
 
-    Equal events count once with ``dedupe``; without it an event that occurs n times has copies = n.
+    Events without a key belong to no session and are left out. Equal events count once with ``dedupe``; without it an event that occurs n times has copies = n.
     """
-    rows = events.select(*keys, *_ordered_fields(events, keys, order))
+    rows = events.select(*keys, *_ordered_fields(events, keys, order)).dropna(subset=list(keys))
     if dedupe:
         return rows.distinct().withColumn("copies", F.lit(1).cast("bigint"))
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def keep_sessions(runs: DataFrame, kept: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of the sessions named in ``kept``, which holds each session once.
+def keep_sessions(runs: DataFrame, kept: DataFrame, keys: Sequence[str], parts: int = JOIN_PARTS) -> DataFrame:
+    """The event runs of the sessions named in ``kept``, which holds each session once.
 
-    Comes after ``event_runs``, so the copies of an event are one row here, and before ``place``, which
-    shuffles anyway; adaptive execution can therefore split a large session over several join tasks.
+    Each session is matched in ``parts`` parts, so a large one is spread over several tasks. As the rows are then
+    not clustered by the keys alone, whatever follows shuffles, and adaptive execution may split the parts further.
     """
-    return runs.join(kept.select(*keys), list(keys), "left_semi")
+    events = [c for c in runs.columns if c not in keys]
+    parted = runs.withColumn("part", F.pmod(F.xxhash64(*events), F.lit(parts)).cast("int"))
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    return parted.join(kept.select(*keys, every_part), [*keys, "part"], "left_semi").drop("part")
 
 
 def sessionize(
@@ -77,7 +81,7 @@ def small_sessions(
     """
     fields = _ordered_fields(events, keys, order)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*fields))
-    head = events.select(*keys, *fields).distinct().withColumn("number", number)
+    head = events.select(*keys, *fields).dropna(subset=list(keys)).distinct().withColumn("number", number)
     head = head.filter(F.col("number") <= max_events + 1)
     original = [c for c in events.columns if c not in keys]
     listed = F.sort_array(F.collect_list(F.struct("number", F.struct(*original).alias("event"))))

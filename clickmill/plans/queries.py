@@ -172,10 +172,9 @@ def shower_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def user_city_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two logs as one, sessions by user and city, showers sampled, duplicates kept, sorted by user and city."""
-    events = _city_events(spark, sf_dir)
-    labelled = classify.shower_sessions(events, USER_CITY)
+    runs = sessions.event_runs(_city_events(spark, sf_dir), USER_CITY, USER_CITY_ORDER, dedupe=False)
+    labelled = classify.shower_sessions(runs, USER_CITY)
     kept = keyed_sample(labelled, "session_type", USER_CITY, {"shower": classify.SHOWER_RATE}, inclusive=True)
-    runs = sessions.event_runs(events, USER_CITY, USER_CITY_ORDER, dedupe=False)
     pages = sessions.session_lists(sessions.keep_sessions(runs, kept, USER_CITY), USER_CITY, dedupe=False)
     text = sessions.session_text(F.col("events"))
     return pages.select(
