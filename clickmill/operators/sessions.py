@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, paged, place
+from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, list_pages, place, run_pages
 
 BY_TIME = ("event_time", "event_type")
 MAX_EVENTS = 100
@@ -64,8 +64,11 @@ def session_lists(
 ) -> DataFrame:
     """keys, page, events: each session as sorted arrays of at most ``page_size`` events."""
     fields = [c for c in runs.columns if c not in keys and c != "copies"]
+    event = F.struct(*fields)
+    if dedupe:
+        return list_pages(runs.drop("copies"), keys, fields, event, "events", page_size, split_rows)
     placed = sessionize(runs, keys, dedupe, split_rows)
-    return paged(placed, keys, F.struct(*fields), "events", None if dedupe else "copies", page_size)
+    return run_pages(placed, keys, event, "events", "copies", page_size)
 
 
 def small_sessions(
