@@ -80,8 +80,12 @@ def is_shower(events: Column) -> Column:
 def shower_sessions(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, n_events, session_type (shower or other) from flat raw events or from their runs."""
     event_type, event_subtype = F.col("event_type"), F.col("event_subtype")
-    shower = F.bool_or(_shows(event_type)) & ~F.bool_or(_engages(event_type, event_subtype))
-    n_events = F.sum("copies") if "copies" in events.columns else F.count(F.lit(1))
+    copies = F.col("copies") if "copies" in events.columns else F.lit(1).cast("bigint")
+
+    def number(condition: Column) -> Column:
+        return F.sum(F.when(condition, copies).otherwise(F.lit(0)))
+
+    shower = (number(_shows(event_type)) > 0) & (number(_engages(event_type, event_subtype)) == 0)
     return events.groupBy(*keys).agg(
-        n_events.alias("n_events"), F.when(shower, "shower").otherwise("other").alias("session_type")
+        F.sum(copies).alias("n_events"), F.when(shower, "shower").otherwise("other").alias("session_type")
     )

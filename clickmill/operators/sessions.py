@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, list_pages, place, run_pages
+from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, list_pages, place, run_pages, with_keys
 
 BY_TIME = ("event_time", "event_type")
 MAX_EVENTS = 100
@@ -26,7 +26,7 @@ def event_runs(
 
     Events without a key belong to no session and are left out. Equal events count once with ``dedupe``; without it an event that occurs n times has copies = n.
     """
-    rows = events.select(*keys, *_ordered_fields(events, keys, order)).dropna(subset=list(keys))
+    rows = with_keys(events, keys).select(*keys, *_ordered_fields(events, keys, order))
     if dedupe:
         return rows.distinct().withColumn("copies", F.lit(1).cast("bigint"))
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
@@ -84,7 +84,7 @@ def small_sessions(
     """
     fields = _ordered_fields(events, keys, order)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*fields))
-    head = events.select(*keys, *fields).dropna(subset=list(keys)).distinct().withColumn("number", number)
+    head = with_keys(events, keys).select(*keys, *fields).distinct().withColumn("number", number)
     head = head.filter(F.col("number") <= max_events + 1)
     original = [c for c in events.columns if c not in keys]
     listed = F.sort_array(F.collect_list(F.struct("number", F.struct(*original).alias("event"))))
