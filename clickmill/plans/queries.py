@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickmill.functions.sampling import keyed_sample
 from clickmill.functions.text import tokenize_lower
+from clickmill.jobs import USER_CITY, USER_CITY_ORDER
 from clickmill.operators import classify, index, metrics, sessionlog, sessions, subtypes, summaries, vin, words
 from clickmill.plans import inputs
 from clickmill.sources import sinks
@@ -16,9 +17,6 @@ from clickmill.sources import sinks
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-USER_CITY = ("user_id", "city")
-USER_CITY_ORDER = ("event_time", "event_type", "event_subtype", "vin")
-
 
 def query(run: Query) -> Query:
     REGISTRY[run.__name__] = run
