@@ -57,11 +57,12 @@ def email_index(spark: SparkSession, source: str, target: str) -> None:
 
 def verse_index(spark: SparkSession, source: str, by_word: str, by_count: str) -> None:
     """Lines ``(word,[id, id])``: in word order, and by descending number of ids."""
-    pages = shared(index.verse_index(index.verse_postings(readers.read_lines(spark, source), "value")))
+    postings = shared(index.verse_postings(readers.read_lines(spark, source), "value"))
+    pages = index.verse_index(postings)
     shown = sinks.bracketed(F.col("verse_ids"))
     ordered = pages.orderBy("word", "page").withColumn("verse_ids", shown)
     sinks.write_lines(sinks.pair_lines(ordered, "word", "verse_ids"), by_word)
-    counted = index.by_reference_count(pages).withColumn("verse_ids", shown)
+    counted = index.by_reference_count(pages, postings).withColumn("verse_ids", shown)
     sinks.write_lines(sinks.pair_lines(counted, "word", "verse_ids"), by_count)
 
 

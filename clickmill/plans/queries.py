@@ -88,7 +88,7 @@ def verse_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def verse_index_by_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = index.verse_postings(inputs.derive(spark, sf_dir, inputs.VERSES), "line")
-    pages = index.by_reference_count(index.verse_index(postings))
+    pages = index.by_reference_count(index.verse_index(postings), postings)
     return pages.select("word", "n_refs", "page", sinks.bracketed(F.col("verse_ids")).alias("verse_ids"))
 
 
