@@ -265,7 +265,7 @@ FROM sums"""
 
 _LOG = _in(inputs.LOG)
 PRICE = f"""
-SELECT make, model, min(p) AS min, max(p) AS max, round(avg(p), 6) AS avg
+SELECT make, model, min(p) AS min, max(p) AS max, round(avg(p) + 1e-9, 6) AS avg
 FROM (SELECT DISTINCT make, model, CAST(price AS DOUBLE) AS p FROM ({_LOG}) WHERE CAST(price AS DOUBLE) <> 0)
 GROUP BY make, model"""
 MILEAGE = f"""
