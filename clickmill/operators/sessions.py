@@ -12,6 +12,8 @@ from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, list_pages, place
 BY_TIME = ("event_time", "event_type")
 MAX_EVENTS = 100
 JOIN_PARTS = 32
+# Spark's default bound for row number limits that are applied before the shuffle.
+GROUP_LIMIT = 1000
 
 
 def _ordered_fields(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -79,13 +81,17 @@ def small_sessions(
 ) -> DataFrame:
     """keys, events: the sessions of at most ``max_events`` distinct events, whole, in one sorted array.
 
-    Larger sessions are recognised by their event number max_events + 1 and dropped. The row number limit is
-    also applied before the shuffle, so a huge session costs each map task at most that many rows.
+    Larger sessions are recognised by their event number max_events + 1 and dropped. Spark applies the row number
+    limit also before the shuffle, so a huge session costs each map task at most that many rows; as it does so only
+    below GROUP_LIMIT, larger sessions are dropped by their size first where max_events is beyond that.
     """
     fields = _ordered_fields(events, keys, order)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*fields))
-    head = with_keys(events, keys).select(*keys, *fields).distinct().withColumn("number", number)
-    head = head.filter(F.col("number") <= max_events + 1)
+    distinct = with_keys(events, keys).select(*keys, *fields).distinct()
+    if max_events >= GROUP_LIMIT:
+        sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"))
+        distinct = keep_sessions(distinct, sizes.filter(F.col("n_events") <= max_events), keys)
+    head = distinct.withColumn("number", number).filter(F.col("number") <= max_events + 1)
     original = [c for c in events.columns if c not in keys]
     listed = F.sort_array(F.collect_list(F.struct("number", F.struct(*original).alias("event"))))
     sessions = head.groupBy(*keys).agg(F.transform(listed, lambda e: e["event"]).alias("events"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,17 +50,17 @@ def event_statistics(df: DataFrame) -> DataFrame:
     return counted.orderBy("vin", "action")
 
 
-def _list_values(name: str) -> Column:
-    """``name:part`` for the parts of a ``:``-separated list, without trailing empty parts."""
-    return F.transform(feature_parts(F.col(name)), lambda part: F.concat(F.lit(f"{name}:"), part))
-
-
 def field_value_counts(
     df: DataFrame, fields: Sequence[str] = COUNTED_FIELDS, lists: Sequence[str] = COUNTED_LISTS
 ) -> DataFrame:
     """field_value (``field:value``), count over the given text columns; list columns count part by part."""
-    values = [F.array(F.concat(F.lit(f"{c}:"), F.col(c))) for c in fields]
-    values += [_list_values(c) for c in lists]
-    present = F.array_compact(F.flatten(F.array_compact(F.array(*values))))
-    exploded = df.select(F.explode(present).alias("field_value"))
-    return exploded.groupBy("field_value").agg(F.count(F.lit(1)).alias("count"))
+
+    def pair(field: str, value: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), value.alias("value"))
+
+    no_parts = F.array().cast("array<string>")
+    pairs = [F.array(*[pair(c, F.col(c)) for c in fields])] if fields else []
+    pairs += [F.transform(F.coalesce(feature_parts(F.col(c)), no_parts), partial(pair, c)) for c in lists]
+    values = df.select(F.inline(F.concat(*pairs))).filter(F.col("value").isNotNull())
+    counted = values.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(F.concat_ws(":", "field", "value").alias("field_value"), "count")

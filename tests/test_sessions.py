@@ -43,6 +43,13 @@ def test_small_sessions_keep_100_and_drop_101(spark):
     assert [e["event_time"] for e in listed] == [f"t{i:04d}" for i in range(100)]
 
 
+def test_small_sessions_with_a_large_limit(spark):
+    data = [("a", "SHOW", "BADGES", f"t{i:04d}", "V1") for i in range(1500)]
+    data += [("b", "SHOW", "BADGES", f"t{i:04d}", "V1") for i in range(1501)]
+    found = sessions.small_sessions(events(spark, *data), max_events=1500).collect()
+    assert [(r["user_id"], len(r["events"])) for r in found] == [("a", 1500)]
+
+
 def test_explode_returns_the_events(spark):
     nested = sessions.small_sessions(events(spark, R1, R2, R3))
     assert set(rows(sessions.explode_sessions(nested).select("user_id", "event_type", "event_time", "vin"))) == {
