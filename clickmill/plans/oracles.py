@@ -292,6 +292,8 @@ FIELD_VALUES = (
 ORACLES = {
     "word_count": WORD_COUNT,
     "word_count_sorted": WORD_COUNT,
+    "word_count_lines": f"SELECT concat(word, chr(9), count) AS value FROM ({WORD_COUNT})",
+    "word_count_pairs": f"SELECT concat('(', word, ',', count, ')') AS value FROM ({WORD_COUNT})",
     "word_count_metrics": WORD_COUNT_METRICS,
     "word_statistics": _word_stats(NORM, "n AS doc_count, s AS word_freq, q AS word_freq_squared"),
     "word_statistics_minmax": _word_stats(

@@ -52,6 +52,18 @@ def word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.word_count(_documents(spark, sf_dir), "text", ordered=True)
 
 
+@query
+def word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines ``word<TAB>count``."""
+    return sinks.key_value_lines(words.word_count(_documents(spark, sf_dir), "text"), "word", "count")
+
+
+@query
+def word_count_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines ``(word,count)``."""
+    return sinks.pair_lines(words.word_count(_documents(spark, sf_dir), "text"), "word", "count")
+
+
 @query
 def word_count_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.word_count_metrics(_documents(spark, sf_dir), "text")
