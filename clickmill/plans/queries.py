@@ -13,6 +13,7 @@ from clickmill.jobs import USER_CITY, USER_CITY_ORDER
 from clickmill.operators import classify, index, metrics, sessionlog, sessions, subtypes, summaries, vin, words
 from clickmill.plans import inputs
 from clickmill.sources import sinks
+from clickmill.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,7 +25,7 @@ def query(run: Query) -> Query:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.table(spark, sf_dir, "documents")
+    return spread(inputs.table(spark, sf_dir, "documents"))
 
 
 def _events(spark: SparkSession, sf_dir: str, log: str = inputs.LOG) -> DataFrame:

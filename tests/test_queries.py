@@ -2,11 +2,14 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from clickmill.operators import index, sessionlog, sessions
+from clickmill.plans import inputs
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
@@ -58,6 +61,36 @@ def test_scans_read_only_the_columns_they_need(spark):
     assert "l_extendedprice" not in plan and "o_orderdate" not in plan
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@needs_data
+def test_branches_of_split_keys_share_one_scan_and_shuffle(spark):
+    postings = index.verse_postings(inputs.derive(spark, SF_DIR, inputs.VERSES), "line")
+    plan = final_plan(index.verse_index(postings, split_rows=20))
+    assert "marks" in plan and "BroadcastHashJoin [word, piece]" in re.sub(r"#\d+", "", plan)
+    assert plan.count("Scan parquet") == 1 and plan.count("ReusedExchange") >= 3
+    events, _ = sessionlog.parse_session_log(inputs.derive(spark, SF_DIR, inputs.lines(inputs.LOG)), "line")
+    plan = final_plan(sessions.session_lists(sessions.event_runs(events), split_rows=20))
+    assert plan.count("Scan parquet") == 3 and plan.count("ReusedExchange") >= 3
+
+
+@needs_data
+def test_without_large_keys_the_branches_vanish(spark):
+    postings = index.verse_postings(inputs.derive(spark, SF_DIR, inputs.VERSES), "line")
+    plan = final_plan(index.verse_index(postings))
+    assert plan.count("Scan parquet") == 1 and "BroadcastExchange" not in plan
+    assert len(re.findall(r"\bExchange hashpartitioning", plan)) == 2
+
+
+@needs_data
+def test_row_limit_of_small_sessions_applies_before_the_shuffle(spark):
+    plan = QUERIES["small_sessions"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 @needs_data
 def test_sorted_outputs(spark):
     words = [r["word"] for r in QUERIES["word_count_sorted"](spark, SF_DIR).collect()]
