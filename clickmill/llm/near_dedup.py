@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import WordHash, discard, hashes, mixed, small_side, stored, windows
+from clickmill.llm.tokens import portions, text_bytes
 
 SHINGLE_WORDS = 5
 BANDS = 32
@@ -90,9 +91,9 @@ def _band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _signed(bands: int, rows: int, width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = _probes(bands * rows)
-        for batch in batches:
+        for batch in portions(batches):
             sizes, digests, keys = [], [], []
-            for shingles in shingle_sets([t or b"" for t in batch.column(1).to_pylist()], width):
+            for shingles in shingle_sets(text_bytes(batch.column(1)), width):
                 sizes.append(len(shingles))
                 digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 found = _band_keys(signature(shingles, bands * rows, probes), bands, rows) if len(shingles) else shingles
@@ -105,8 +106,8 @@ def _signed(bands: int, rows: int, width: int):
 
 def _full_sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [s.tobytes() for s in shingle_sets([t or b"" for t in batch.column(1).to_pylist()], width)]
+        for batch in portions(batches):
+            found = [s.tobytes() for s in shingle_sets(text_bytes(batch.column(1)), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "set"])
 
     return sets

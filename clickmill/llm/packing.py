@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import stored
-from clickmill.llm.tokens import encoder, text_bytes
+from clickmill.llm.tokens import encoder, portions, text_bytes
 
 CAPACITY = 2048
 # Patterns that leave more than this share of a sequence empty are not enumerated.
@@ -42,9 +42,9 @@ def _pieces_of(path: str, end_id: int, capacity: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = encoder(path, spaced=True)
-        for batch in batches:
+        for batch in portions(batches):
             rows: list[list[int | None]] = [[], [], [], [], []]
-            ids = codes.encode(text_bytes(batch.column(1))) if batch.num_rows else []
+            ids = codes.encode(text_bytes(batch.column(1)))
             for doc_id, one in zip(batch.column(0).to_pylist(), ids, strict=True):
                 one += end
                 total = len(one) // 4

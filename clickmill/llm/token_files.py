@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import new_path
-from clickmill.llm.tokens import encoder, text_bytes
+from clickmill.llm.tokens import encoder, portions, text_bytes
 
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 8 << 20
@@ -36,9 +36,7 @@ def _tokenised(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = encoder(path, spaced=False)
         before = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in portions(batches):
             ids = [one + end for one in codes.encode(text_bytes(batch.column(1)))]
             ends = np.cumsum([0] + [len(one) // 4 for one in ids])
             lists = pa.ListArray.from_arrays(

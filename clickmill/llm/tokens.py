@@ -7,11 +7,16 @@ where a cut is certain, and the ids of each part are kept: parts recur, and the
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from tokenizers import Tokenizer
 
-CACHE_PARTS = 500_000
+CACHE_PARTS = 250_000
+# Texts that are worked on at a time, so that a worker's memory does not follow the size of its batches.
+PORTION_BYTES = 2 << 20
 # A word of plain letters, then signs: the vocabularies always cut between the two. Signs that start a cut of their
 # own (the apostrophe of contractions) or a special token are left out.
 _WORD_AND_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\\-./:;=>?@\\[\\]^_`{}~]+)")
@@ -91,3 +96,15 @@ def encoder(path: str, spaced: bool) -> PartEncoder:
 def text_bytes(column) -> list[bytes]:
     """An Arrow string column as UTF-8 bytes; null is the empty text."""
     return [value or b"" for value in column.cast("binary").to_pylist()]
+
+
+def portions(batches: Iterator[pa.RecordBatch], texts: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about PORTION_BYTES of the text column; a longer text is a slice of its own."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False)
+        number = (np.cumsum(sizes) - sizes) // PORTION_BYTES
+        starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
+        for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(start, end - start)
