@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -17,8 +19,24 @@ BROADCAST_BYTES = 16 << 20
 CACHE_WORDS = 400_000
 
 
+# The folder that holds the package.
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """The session, with this package's folder on the search path of workers that run on the same machine.
+
+    Workers of a cluster get the package as any other (--py-files or an installation); there the entry does nothing.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [_ROOT])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,29 +6,92 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickmill.llm import near_dedup, packing, token_files
+import corpus_pipeline
+from clickmill.llm import decontamination, language, near_dedup, packing, pii, quotations, secrets, token_files, toxicity, vector_search
 from clickmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages. Pages have page_id, and -1 - page_id in doc_id, which no document has."""
+    docs = table(spark, sf_dir, "documents")
+    langs, model = language.train(docs)
+    pages = language.page_rows(table(spark, sf_dir, "pages")).withColumn("key", -1 - F.col("key"))
+    found = language.identify(language.document_rows(docs).unionByName(pages), langs, model)
+    page_id = F.when(F.col("key") < 0, -1 - F.col("key")).alias("page_id")
+    return found.select(F.col("key").alias("doc_id"), page_id, "declared", "lang", "posterior", "text_lang", "n_grams", "kept")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+def op6_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op9_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
+    "op1_template_decontamination": op1_template_decontamination,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_language_fusion": op3_language_fusion,
     "op4_token_files": op4_token_files,
+    "op5_markov_secrets": op5_markov_secrets,
+    "op6_boosted_pii": op6_boosted_pii,
+    "op7_ftrl_toxicity": op7_ftrl_toxicity,
+    "op8_pivot_top_k": op8_pivot_top_k,
+    "op9_quotation_links": op9_quotation_links,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # The k best by plain arithmetic over all pairs of a query and a candidate.
+    "op8_pivot_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}

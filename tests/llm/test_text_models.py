@@ -1,0 +1,222 @@
+"""Secrets, personal data, toxicity, language: base patterns against plain regular expressions, and held-out quality."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickmill.llm import boosting, language, pii, secrets, toxicity
+from clickmill.llm.common import table
+from clickmill.llm.spans import free_of, joined
+
+ASSIGN = re.compile("(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([ -]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+
+
+def plain_secrets(text):
+    found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    return sorted(found + [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16])
+
+
+def plain_pii(text):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    found = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [("card", m.start(), m.end()) for m in CARD.finditer(text) if 14 <= len(digits(m)) <= 19 and pii.luhn(digits(m))]
+    return sorted(found + [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m)) <= 15])
+
+
+PARTS = st.sampled_from(
+    ["token", "PassWord", "api_key", "APIKEY", " = ", ":", '"', "AKIA", "ABCDEFGH12", "0123456789abcdef", "f", "é", "日本", " ", "\n", "a@b", "@", ".com",
+     "x.y", "1.2.3.4", "256", ".", "4111 1111 1111 1111", "-", "+1 (555) 123-4567", "+", "(", "12", "ab12CD", "%", "ſecret=abcdefghijklm"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PARTS, max_size=14).map("".join))
+def test_base_spans_are_those_of_the_patterns(text):
+    assert sorted(secrets.base_spans(text)) == plain_secrets(text)
+    assert sorted(pii.base_spans(text)) == plain_pii(text)
+
+
+def test_span_text_form():
+    assert joined([("b", 3, 4), ("a", 3, 9), ("b", 0, 1)], ["a", "b"]) == "b:0:1,a:3:9,b:3:4"
+    assert free_of([("x", 0, 2), ("x", 4, 6)], [("b", 1, 3)]) == [("x", 4, 6)]
+
+
+ROWS = [(1, "token = 'abcdefghijklmnop' and 4111 1111 1111 1111"), (2, None), (3, ""), (3, ""), (None, "mail a@b.co now"), (4, "é 1.2.3.4 " * 20_000)]
+
+
+def digest(spans, kinds):
+    return hashlib.sha256(joined(spans, kinds).encode()).hexdigest()
+
+
+def test_secret_rows(documents, spark):
+    found = sorted(map(tuple, secrets.secrets(documents(*ROWS)).collect()), key=str)
+    for row in found:
+        text = next(t or "" for d, t in ROWS if d == row[0])
+        spans = plain_secrets(text)
+        assert row[1:4] == tuple(sum(s[0] == k for s in spans) for k in secrets.KINDS[:3])
+        assert row[4] == digest(spans, secrets.KINDS) and set(joined(spans, secrets.KINDS).split(",")) <= set(row[5].split(",")) | {""}
+    assert len(found) == len(ROWS)
+    assert secrets.secrets(documents()).count() == 0
+    assert secrets.secrets(spark.createDataFrame([(1, "x", 2)], "doc_id bigint, text string, spans bigint")).count() == 1
+
+
+def test_pii_rows(documents, spark):
+    found = pii.personal_data(documents(*ROWS)).collect()
+    for row in found:
+        text = next(t or "" for d, t in ROWS if d == row["doc_id"])
+        spans = plain_pii(text)
+        assert tuple(row)[1:5] == tuple(sum(s[0] == k for s in spans) for k in pii.KINDS[:4])
+        assert row["base_sha256"] == digest(spans, pii.KINDS)
+    assert len(found) == len(ROWS) and pii.personal_data(documents()).count() == 0
+
+
+def test_tables_of_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for found, plain, kinds in ((secrets.secrets(docs), plain_secrets, secrets.KINDS), (pii.personal_data(docs), plain_pii, pii.KINDS)):
+        rows = found.collect()
+        assert len(rows) == len(texts)
+        for row in rows:
+            assert row["base_sha256"] == digest(plain(texts[row["doc_id"]]), kinds)
+
+
+def test_markov_models_tell_keys_from_identifiers(spark, sf_dir):
+    model = secrets.train(table(spark, sf_dir, "documents"))
+    draw = random.Random(3)
+    letters = secrets.CHARACTERS[:62]
+    keys = ["".join(draw.choice(letters) for _ in range(32)) for _ in range(200)]
+    names = [f"{a}And{b.title()}For{c}{n}" for n, (a, b, c) in enumerate([("there", "thing", "other"), ("and", "the", "anotherone")] * 20)]
+    assert np.mean([secrets.ratio(k, model) >= secrets.LEAST_RATIO for k in keys]) > 0.97
+    assert not any(secrets.ratio(n, model) >= secrets.LEAST_RATIO for n in names)
+    text = f"the key is {keys[0]}1 and so on"
+    assert secrets.found_spans(text, model)[1] == [("random", 11, 44)]
+
+
+def test_boosted_trees_learn_an_interaction():
+    x = np.random.default_rng(0).normal(size=(800, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    trees = boosting.fitted(x[:400], y[:400])
+    score = boosting.predicted(trees, x[400:])
+    assert np.mean((score > 0) == (y[400:] > 0)) > 0.9
+    cut = boosting.calibrated_threshold(score, y[400:], 0.95)
+    assert y[400:][score >= cut].mean() >= 0.95
+
+
+def test_pii_model_on_new_forms(spark, sf_dir):
+    model = pii.train(table(spark, sf_dir, "documents"))
+    draw, right, wrong = random.Random(99), [], []
+    for _ in range(400):
+        cue, form, label = pii._forms(draw)
+        text = f"some words before {cue}{form} and after"
+        (right if label else wrong).append(bool(model.accepted(text, pii.base_spans(text))))
+    assert np.mean(right) > 0.6 and np.mean(wrong) < 0.03
+
+
+def test_redaction(documents, spark):
+    rows = [(1, "mail a.b@c.org or +1 (555) 123-4567."), (2, None), (3, "clean text, 12 apples"), (4, "ip 10.0.0.1 4111-1111-1111-1111")]
+    found = {r["doc_id"]: r["text"] for r in pii.redact(documents(*rows)).collect()}
+    assert found == {1: "mail <EMAIL> or <PHONE>.", 2: None, 3: "clean text, 12 apples", 4: "ip <IP> <CARD>"}
+    assert pii.redact(documents()).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark, documents):
+    draw, rows, labels = random.Random(1), [], []
+    for i in range(600):
+        words = [f"w{draw.randrange(400)}" for _ in range(60)]
+        toxic = draw.random() < 0.3
+        if toxic:
+            words[draw.randrange(60)] = "Idiot!"
+            words[draw.randrange(60)] = draw.choice(["moron", "scum,"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    rows += [(1000, None), (1001, ""), (None, "w1")]
+    labels += [(5, None), (None, 1)]
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = toxicity.toxicity(documents(*rows), known).collect()
+    assert len(found) == len(rows)
+    truth = dict(labels[:600])
+    for row in found:
+        if row["doc_id"] is not None:
+            assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.5)
+    kept = [(r["predicted"], truth[r["doc_id"]]) for r in found if r["held_out"] and r["doc_id"] in truth]
+    assert np.mean([a == b for a, b in kept]) > 0.95
+    assert {r["predicted"] for r in found if r["doc_id"] in (1000, 1001)} == {0}
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert {r["score"] for r in toxicity.toxicity(documents(*rows[:3]), none).collect()} == {0.5}
+    assert toxicity.toxicity(documents(), known).count() == 0
+
+
+def test_held_out_labels_change_no_score(spark, documents):
+    rows = [(i, f"w{i % 7} w{i % 3}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    turned = [(i, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, t in labels]
+    scores = [sorted((r["doc_id"], r["score"]) for r in toxicity.toxicity(documents(*rows), spark.createDataFrame(x, "doc_id bigint, toxic int")).collect()) for x in (labels, turned)]
+    assert scores[0] == scores[1]
+
+
+def test_language_of_documents_and_pages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    langs, model = language.train(docs, 100)
+    found = language.identify(language.document_rows(docs).withColumn("declared", language.F.lit(None)), langs, model).collect()
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert np.mean([r["lang"] == truth[r["key"]] for r in found]) > 0.97
+    pages = language.identify(language.page_rows(table(spark, sf_dir, "pages")), langs, model).collect()
+    assert np.mean([r["kept"] and r["lang"] == r["declared"] for r in pages]) > 0.97
+
+
+def brute_posteriors(rows, langs, model):
+    """The fusion by plain loops."""
+    observed, logs = [], []
+    for _, _, _, _, text in rows:
+        grams = language.trigram_buckets(text or "")
+        mean = model[:, grams].mean(axis=1) + np.log(model.shape[1]) if len(grams) else np.zeros(len(langs))
+        observed.append(len(grams))
+        logs.append(mean * min(len(grams), language.TEXT_OBSERVATIONS))
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    alone = [soft(x) if n else np.zeros(len(langs)) for x, n in zip(logs, observed, strict=True)]
+    level = lambda host, k: (host or "") if k == 0 else ".".join((host or "").split(".")[-(3 - k):]) if k < 3 else None
+    posteriors = []
+    for i, (_, host, declared, _, _) in enumerate(rows):
+        prior = np.full(len(langs), 1 / len(langs))
+        for k in (3, 2, 1, 0):
+            rest = sum((alone[j] for j in range(len(rows)) if j != i and level(rows[j][1], k) == level(host, k)), np.zeros(len(langs)))
+            prior = (rest + prior * language.LEVEL_STRENGTH) / (rest.sum() + language.LEVEL_STRENGTH)
+        right = [language.DECLARED_RIGHT if x == declared else (1 - language.DECLARED_RIGHT) / (len(langs) - 1) for x in langs]
+        posterior = soft(logs[i]) * prior * (right if declared in langs else 1)
+        posteriors.append(float((posterior / posterior.sum()).max()) if observed[i] else 0.0)
+    return posteriors
+
+
+def test_fusion_against_plain_loops(spark, sf_dir, documents):
+    langs, model = language.train(table(spark, sf_dir, "documents"), 100)
+    hosts = ["a.x.com", "b.x.com", "x.com", "a.y.de", "z.de", None, ""]
+    texts = ["the and of", "der die das und", "le les de la", "ci", None, "", "... 123", "the", "la la en de"]
+    rows = [(i, hosts[i % 7], ["en", "de", None, "xx"][i % 4], False, texts[i % 9]) for i in range(40)] + [(3, "z.de", "xx", False, "ci")] * 2
+    df = spark.createDataFrame(rows, "key bigint, host string, declared string, html boolean, text string")
+    found = sorted((r["key"], round(r["posterior"], 9)) for r in language.identify(df, langs, model).collect())
+    wanted = sorted((r[0], round(p, 9)) for r, p in zip(rows, brute_posteriors(rows, langs, model), strict=True))
+    assert found == pytest.approx(wanted, abs=1e-8)
+    kept = {r["key"]: r["kept"] for r in language.identify(df, langs, model).collect()}
+    assert not any(kept[i] for i in range(40) if texts[i % 9] in (None, "", "... 123"))
+
+
+def test_language_without_labels_or_rows(documents):
+    langs, model = language.train(documents())
+    assert langs == []
+    found = language.identify(language.document_rows(documents((1, "text"))), langs, model).collect()
+    assert [(r["lang"], r["kept"]) for r in found] == [(None, False)]
+    langs, model = language.train(documents((1, "the text of it")))
+    assert language.identify(language.document_rows(documents()), langs, model).count() == 0
