@@ -10,9 +10,10 @@ import pytest
 import __spark_entry__ as contract
 from clickmill.operators import index, sessionlog, sessions
 from clickmill.plans import inputs
+from clickmill.plans.oracles import ORACLES
+from clickmill.plans.queries import REGISTRY as QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -29,14 +30,14 @@ def plain(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == set(QUERIES)
+    assert set(ORACLES) == set(QUERIES)
 
 
 @needs_data
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
-    result = duck.execute(contract.oracle_sql()[name])
+    result = duck.execute(ORACLES[name])
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(df.columns)
     place = [names.index(c) for c in sorted(names)]
