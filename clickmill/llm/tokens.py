@@ -1,7 +1,7 @@
 """Texts as ids of a public tokenizer.
 
-Both vocabularies used here cut a text into pieces first and encode each piece by itself. A text is therefore split
-where a cut is certain, and the ids of each part are kept: parts recur, and the library is asked once per new part.
+Both vocabularies used here cut a text into pieces first and encode each piece by itself. A text is therefore split where
+a cut is certain, and the ids of each part are kept: parts recur, and the library is asked once per new part.
 """
 
 from __future__ import annotations
@@ -14,73 +14,80 @@ import pyarrow as pa
 import pyarrow.compute
 from tokenizers import Tokenizer
 
-CACHE_PARTS = 250_000
+CACHE_PARTS = 600_000
 # Texts that are worked on at a time, so that a worker's memory does not follow the size of its batches.
 PORTION_BYTES = 2 << 20
-# A word of plain letters, then signs: the vocabularies always cut between the two. Signs that start a cut of their
-# own (the apostrophe of contractions) or a special token are left out.
-_WORD_AND_SIGNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\\-./:;=>?@\\[\\]^_`{}~]+)")
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# New words that the library is asked for in one text.
+JOINED_WORDS = 64
+
+# Signs after a letter (ASCII or Latin-1, as UTF-8) and up to white space: the vocabularies always cut before the signs.
+_SIGNS = re.compile(
+    rb"([.,;:!?](?:(?<=[A-Za-z][.,;:!?])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][.,;:!?]))[.,;:!?]*)(?=[ \n]|$)"
+)
+_TWO_BLANKS = re.compile(rb"[\x09-\x0d\x1c-\x20][\x09-\x0d\x1c-\x20]")
+# A space before something that is not white space.
 _INNER_SPACE = re.compile(rb" (?![\x09-\x0d\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|$)", re.S)
 
 
 class PartEncoder:
     """Ids of UTF-8 texts as little-endian unsigned 32-bit bytes.
 
-    ``spaced``: white space belongs to the parts (a single space to the part after it) and case matters; otherwise
-    parts are separated by white space, which has no ids, and compared in lower case.
+    ``spaced``: white space belongs to the parts (a single space to the part after it) and case matters; otherwise parts
+    are separated by white space, which has no ids, and compared in lower case. A spaced part that starts with a zero
+    byte stands for the rest of it, without a space before.
     """
 
     def __init__(self, path: str, spaced: bool):
         self.tokenizer = Tokenizer.from_file(path)
         self.spaced = spaced
-        self.lead: dict[bytes, bytes] = {}
         self.known: dict[bytes, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        # Where a word begins (a space) or ends, seen from its ids.
+        self.edge = np.array([n.startswith("Ġ") if spaced else n.endswith("</w>") for n in names], bool)
 
     def _split(self, text: bytes) -> list[bytes]:
         if not self.spaced:
-            return text.split()
-        parts = text.split(b" ")
-        if b"  " in text or not text.isascii() or any(sign in text for sign in (b" \n", b" \t", b" \r", b" \x0b")):
-            return _INNER_SPACE.split(text)
-        return parts
+            return _SIGNS.sub(rb" \1", text if b"<|" in text else text.lower()).split()
+        if b"\0" in text:
+            # The mark itself occurs: the whole text is one part, as texts with zero bytes are rare.
+            return [b"\0" + text]
+        if text.isascii() and not _TWO_BLANKS.search(text):
+            return (b"\0" + _SIGNS.sub(rb" " + b"\0" + rb"\1", text).replace(b"\n", b" \0\n \0")).split(b" ")
+        return _INNER_SPACE.split(b"\0" + _SIGNS.sub(rb" " + b"\0" + rb"\1", text))
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encodings]
 
-    def _learn(self, parts: set[bytes]) -> None:
-        """Fill ``known`` for the parts: words and trailing signs are looked up apart, so that fewer are new."""
-        words: dict[str, list[str]] = {}
-        for part in parts:
-            text = part.decode()
-            found = _WORD_AND_SIGNS.fullmatch(text)
-            pieces = list(found.groups()) if found else [text]
-            if not self.spaced and _PLAIN.fullmatch(pieces[0]):
-                pieces[0] = pieces[0].lower()
-            elif self.spaced:
-                pieces[0] = " " + pieces[0]
-            words[text] = pieces
-        new = list({piece for pieces in words.values() for piece in pieces if piece.encode() not in self.lead})
-        self.lead.update(zip((piece.encode() for piece in new), self._ask(new), strict=True))
-        for text, pieces in words.items():
-            self.known[text.encode()] = b"".join(self.lead[piece.encode()] for piece in pieces)
+    def _text_of(self, part: bytes) -> str:
+        if not self.spaced:
+            return part.decode()
+        return part[1:].decode() if part[:1] == b"\0" else " " + part.decode()
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Fill ``known``. Plain words are asked for side by side, and told apart by the edges of words in their ids."""
+        words = [p for p in parts if p.decode().isalpha()]
+        rest = [p for p in parts if not p.decode().isalpha()]
+        groups = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        lead = " " if self.spaced else ""
+        for group, ids in zip(groups, self._ask([lead + b" ".join(g).decode() for g in groups]), strict=True):
+            edges = np.flatnonzero(self.edge[np.frombuffer(ids, "<u4")])
+            if len(edges) != len(group):
+                rest += group
+                continue
+            cuts = (4 * np.append(edges, len(ids) // 4) if self.spaced else 4 * np.append(0, edges + 1)).tolist()
+            self.known.update(zip(group, [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
+        self.known.update(zip(rest, self._ask([self._text_of(p) for p in rest]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > CACHE_PARTS:
             self.known.clear()
-            self.lead.clear()
         split = [self._split(text) for text in texts]
-        firsts: list[bytes] = []
-        if self.spaced:
-            # The first part has no space before it; such parts are rare and are asked for as they are.
-            firsts = self._ask([parts[0].decode() for parts in split])
-            split = [parts[1:] for parts in split]
         new = set().union(*split).difference(self.known)
         if new:
-            self._learn(new)
-        ids = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
-        return [a + b for a, b in zip(firsts, ids, strict=True)] if self.spaced else ids
+            self._learn(list(new))
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
 
 
 _ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
