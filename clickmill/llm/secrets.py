@@ -1,8 +1,9 @@
 """Secrets: fixed patterns, and character Markov models that tell random strings from ordinary identifiers.
 
 Two models of character pairs are trained from labelled samples: the values that the fixed patterns find in a bounded
-sample of the documents are random strings, the other long words of the same documents are identifiers. A string of key
-characters with letters and digits is a secret if its log-likelihood ratio per character is high enough.
+sample of the documents are random strings; the other long words of the same documents, and their words joined as programs
+join them, are identifiers. A string of key characters with letters and digits is a secret if its log-likelihood ratio per
+character is high enough.
 
 Defined results: a null text counts as empty and has no spans; repeated rows get equal results; a null doc_id stays null;
 an empty table gives no rows; further columns are ignored. Spans are in code points of the whole text.
@@ -79,6 +80,12 @@ def _pairs(word: str) -> np.ndarray:
     return codes[:-1] * _SIZE + codes[1:]
 
 
+def _joined_words(text: str) -> list[str]:
+    """The words of a text as identifiers are made of words: capitals inside, underscores, hyphens, some numbers."""
+    words = [f"{word}{at % 100}" if at % 3 == 2 else word for at, word in enumerate(re.findall("[A-Za-z]{2,}", text))]
+    return ["".join(word.capitalize() for word in words), "_".join(words), "-".join(words).lower()]
+
+
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label, pair, n of the labelled strings of the sampled texts."""
     counts = np.zeros((2, _SIZE * _SIZE), np.int64)
@@ -92,6 +99,8 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [("word", m.start(), m.end()) for m in _WORD.finditer(text)]
             for _, start, end in free_of(words, base) if base else words:
                 np.add.at(counts[0], _pairs(text[start:end]), 1)
+            for word in _joined_words(text):
+                np.add.at(counts[0], _pairs(word), 1)
     label, pair = np.nonzero(counts)
     columns = [pa.array(label), pa.array(pair), pa.array(counts[label, pair])]
     yield pa.RecordBatch.from_arrays(columns, ["label", "pair", "n"])

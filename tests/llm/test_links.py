@@ -24,7 +24,7 @@ def leaks_of(spark, documents, docs, items):
 def test_templates_catch_other_numbers_and_names(spark, documents):
     docs = [(1, f"{CLEAN} {QUESTION} {CLEAN}"), (2, f"{CLEAN}. {OTHER} {CLEAN}"), (3, CLEAN), (4, None), (5, ""), (6, "word " * 50_000), (7, QUESTION.lower() + " ")]
     found = leaks_of(spark, documents, docs, [(10, QUESTION), (11, None), (12, "too short"), (13, "")])
-    assert {d for d, r in found.items() if r["contaminated"]} == {1, 2}
+    assert {d for d, r in found.items() if r["contaminated"]} == {1, 2, 7}
     assert [found[1]["reparameterised"], found[2]["reparameterised"]] == [False, True]
     assert found[1]["items"] == [10] and found[3]["items"] == [] and len(found) == 7
 
@@ -35,9 +35,10 @@ def test_inconsistent_slots_are_no_leak(spark, documents):
 
 
 def test_part_of_a_long_item_and_shared_phrases(spark, documents):
-    long = " ".join(f"word{i}" for i in range(200))
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    long = " ".join(words)
     items = [(1, long)] + [(10 + i, f"what is the name of the place where item {chr(97 + i)}x was found") for i in range(8)]
-    docs = [(1, "x y z " + " ".join(f"word{i}" for i in range(50, 63))), (2, "x y z " + " ".join(f"word{i}" for i in range(50, 60))), (3, items[3][1]), (3, items[3][1]), (None, long)]
+    docs = [(1, "x y z " + " ".join(words[50:63])), (2, "x y z " + " ".join(words[50:60])), (3, items[3][1]), (3, items[3][1]), (None, long)]
     found = leaks_of(spark, documents, docs, items)
     assert found[1]["items"] == [1] and not found[2]["contaminated"] and 12 in found[3]["items"] and not found[None]["contaminated"]
 
