@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import CACHE_WORDS, stored, windows
+from clickmill.llm.common import stored, windows
 from clickmill.llm.tokens import portions, text_bytes
 
 WIDTH = 5
@@ -37,6 +37,8 @@ LEAST_SHARE = 0.5
 LEAST_WINDOWS = 5
 ALIGNED_WINDOWS = 9
 BITMAP_BITS = 1 << 22
+# White-space parts after which a worker empties its cache of them.
+CACHE_WORDS = 600_000
 
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound"
@@ -44,8 +46,10 @@ UNITS = frozenset(
     " hours day days week weeks month months year years percent dollar dollars cent cents euro euros degree degrees"
     " mph kmh kb mb gb tb hz khz mhz ghz w kw mw v kv j kj cal kcal c f k".split()
 )
-_TOKEN = re.compile(r"(?P<number>\d(?:[\d.,/:]*\d)?)|(?P<word>[^\W\d_]+(?:['’][^\W\d_]+)*)")
+# A number, or a word.
+_TOKEN = re.compile(r"(\d(?:[\d.,/:]*\d)?)|([^\W\d_]+(?:['’][^\W\d_]+)*)")
 _LITERAL, _NUMBER, _UNIT, _NAME = range(4)
+_CLOSING, _ENDS = b"\"')]", (b".", b"!", b"?")
 
 
 class TemplateWords:
@@ -56,61 +60,45 @@ class TemplateWords:
 
     def clear(self) -> None:
         self.parts: dict[bytes, bytes] = {}
-        self.numbers: dict[tuple[str, bool], int] = {}
-        self.rows: list[tuple[int, int, bool, bool]] = []
-        self.table = None
-
-    def _number(self, token: str, is_number: bool, ends: bool) -> int:
-        key = (token, ends)
-        if key not in self.numbers:
-            self.numbers[key] = len(self.rows)
-            value = xxhash.xxh3_64_intdigest(token.lower())
-            named = not is_number and len(token) > 1 and token[0].isupper() and token[1:].islower()
-            self.rows.append((value, _NUMBER if is_number else _LITERAL, named, ends))
-            self.table = None
-        return self.numbers[key]
+        # Per template word: the hash of the lowered word, and whether it is a number, a unit, name-like, and ends a sentence.
+        self.value = np.zeros(0, np.uint64)
+        self.flags = np.zeros((0, 4), bool)
 
     def learn(self, parts: set[bytes]) -> None:
-        for part in parts:
-            text = part.decode()
-            found = list(_TOKEN.finditer(text))
-            ends = text.rstrip("\"'”’)»]").endswith((".", "!", "?"))
-            numbers = [self._number(m[0], m["number"] is not None, ends and m is found[-1]) for m in found]
-            self.parts[part] = np.array(numbers, np.int32).tobytes()
-
-    def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        if self.table is None:
-            value, kind, named, ends = zip(*self.rows, strict=True) if self.rows else ((), (), (), ())
-            units = {xxhash.xxh3_64_intdigest(unit) for unit in UNITS}
-            self.table = (
-                np.array(value, np.uint64), np.array(kind, np.int8), np.array(named, bool), np.array(ends, bool),
-                np.array([v in units for v in value], bool),
-            )
-        return self.table
+        """Take in new parts, all at once."""
+        if len(self.parts) > CACHE_WORDS:
+            self.clear()
+        values, flags, at = [], [], len(self.value)
+        for part in parts.difference(self.parts):
+            core = part.rstrip(b".,;:!?")
+            # Most parts are one word of ASCII letters.
+            tokens = [("", core.decode())] if core.isalpha() else _TOKEN.findall(part.decode())
+            first = at
+            for number, word in tokens:
+                lowered = (number or word).lower()
+                values.append(xxhash.xxh3_64_intdigest(lowered))
+                named = len(word) > 1 and word[0].isupper() and word[1:].islower()
+                at += 1
+                flags.append((bool(number), lowered in UNITS, named, at == first + len(tokens) and part.rstrip(_CLOSING).endswith(_ENDS)))
+            self.parts[part] = np.arange(first, at, dtype=np.int32).tobytes() if at > first + 1 else first.to_bytes(4, "little") * (at - first)
+        if values:
+            self.value = np.append(self.value, np.array(values, np.uint64))
+            self.flags = np.append(self.flags, np.array(flags, bool), axis=0)
+
+    def template(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per template word of learnt parts its code, its kind and its value."""
+        at = np.frombuffer(b"".join(map(self.parts.__getitem__, words)), np.int32)
+        value, flags = self.value[at], self.flags[at]
+        inside, after_number = np.zeros(len(at), bool), np.zeros(len(at), bool)
+        inside[1:], after_number[1:] = ~flags[:-1, 3], flags[:-1, 0]
+        kind = np.where(flags[:, 2] & inside, _NAME, _LITERAL)
+        kind = np.where(flags[:, 0], _NUMBER, np.where(flags[:, 1] & after_number, _UNIT, kind))
+        return np.where(kind == _LITERAL, value, kind.astype(np.uint64)), kind, value
 
 
 _WORDS = TemplateWords()
 
 
-def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per template word its code, its kind and its value (the hash of the lowered word)."""
-    words = text.split()
-    if len(_WORDS.parts) > CACHE_WORDS:
-        _WORDS.clear()
-    new = set(words).difference(_WORDS.parts)
-    if new:
-        _WORDS.learn(new)
-    at = np.frombuffer(b"".join(map(_WORDS.parts.__getitem__, words)), np.int32)
-    value, kind, named, ends, unit = (column[at] for column in _WORDS.columns())
-    inside = np.zeros(len(at), bool)
-    inside[1:] = ~ends[:-1]
-    after_number = np.zeros(len(at), bool)
-    after_number[1:] = kind[:-1] == _NUMBER
-    kind = np.where(kind == _NUMBER, _NUMBER, np.where(unit & after_number, _UNIT, np.where(named & inside, _NAME, _LITERAL)))
-    codes = np.where(kind == _LITERAL, value, kind.astype(np.uint64))
-    return codes, kind, value
-
-
 def _template_windows(bitmap: bytes | None):
     """id, place, hash, slots of the windows that count; with a bitmap only of those found in it."""
 
@@ -118,8 +106,10 @@ def _template_windows(bitmap: bytes | None):
         known = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
         for batch in portions(batches):
             ids, places, found, slots = [], [], [], []
-            for row_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                codes, kind, value = template(text)
+            texts = [text.split() for text in text_bytes(batch.column(1))]
+            _WORDS.learn(set().union(*texts))
+            for row_id, words in zip(batch.column(0).to_pylist(), texts, strict=True):
+                codes, kind, value = _WORDS.template(words)
                 hashes = windows(codes, WIDTH)
                 if known is not None and len(hashes):
                     hits = np.flatnonzero(known[(hashes % np.uint64(BITMAP_BITS)).astype(np.int64)])
