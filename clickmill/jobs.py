@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.functions.sampling import keyed_sample
+from clickmill.functions.sampling import keyed_sample, sampled
 from clickmill.functions.text import tokenize_lower
 from clickmill.operators import classify, index, metrics, sessionlog, sessions, subtypes, summaries, vin, words
 from clickmill.sources import readers, sinks
@@ -48,37 +48,47 @@ def word_statistics_minmax(spark: SparkSession, source: str, target: str) -> Non
     sinks.write_lines(sinks.key_value_lines(found, "word", record), target)
 
 
-def email_index(spark: SparkSession, source: str, target: str) -> None:
-    """Lines ``header:address<TAB>id,id``."""
-    pages = index.email_index(index.email_references(readers.read_lines(spark, source), "value"))
+def email_index(spark: SparkSession, source: str, target: str, rejects: str | None = None) -> None:
+    """Lines ``header:address<TAB>id,id``; mails that are not indexed, or not in full, go to ``rejects`` if given."""
+    mails = readers.read_lines(spark, source)
+    pages = index.email_index(index.email_references(mails, "value"))
     ids = sinks.comma_joined(F.col("message_ids"))
     sinks.write_lines(sinks.key_value_lines(pages, "reference", ids), target)
+    if rejects:
+        bad = index.email_rejects(mails, "value").unionByName(index.id_less_mails(mails, "value"))
+        sinks.write_records(bad, rejects)
 
 
-def verse_index(spark: SparkSession, source: str, by_word: str, by_count: str) -> None:
-    """Lines ``(word,[id, id])``: in word order, and by descending number of ids."""
-    postings = shared(index.verse_postings(readers.read_lines(spark, source), "value"))
-    pages = index.verse_index(postings)
+def verse_index(spark: SparkSession, source: str, by_word: str, by_count: str, rejects: str | None = None) -> None:
+    """Lines ``(word,[id, id])``: in word order, and by descending number of ids; the lists are made once for both."""
+    lines = readers.read_lines(spark, source)
+    pages = shared(index.verse_index(index.verse_postings(lines, "value"), n_refs="n_refs"))
     shown = sinks.bracketed(F.col("verse_ids"))
     ordered = pages.orderBy("word", "page").withColumn("verse_ids", shown)
     sinks.write_lines(sinks.pair_lines(ordered, "word", "verse_ids"), by_word)
-    counted = index.by_reference_count(pages, postings).withColumn("verse_ids", shown)
+    counted = index.by_reference_count(pages).withColumn("verse_ids", shown)
     sinks.write_lines(sinks.pair_lines(counted, "word", "verse_ids"), by_count)
+    if rejects:
+        sinks.write_records(index.verse_rejects(lines, "value"), rejects)
 
 
 def user_sessions(spark: SparkSession, source: str, target: str, rejects: str | None = None) -> None:
-    """Nested sessions by user; lines that cannot be parsed go to ``rejects`` if given."""
+    """Nested sessions by user with their sizes; lines that cannot be parsed go to ``rejects`` if given."""
     events, bad = sessionlog.parse_session_log(readers.read_lines(spark, source), "value")
-    sinks.write_records(sessions.session_lists(sessions.event_runs(events)), target)
+    runs = sessions.event_runs(events)
+    sinks.write_records(sessions.session_lists(runs, facts={"n_events": F.count(F.lit(1))}), target)
     if rejects:
         sinks.write_records(bad, rejects)
 
 
-def field_value_counts(spark: SparkSession, source: str, target: str) -> None:
-    """Lines ``field:value<TAB>count``."""
-    fields = F.split("value", "\t")
+def field_value_counts(spark: SparkSession, source: str, target: str, strict_last_field: bool = False) -> None:
+    """Lines ``field:value<TAB>count``; ``strict_last_field`` reads the features from the last field present."""
+    fields = F.split(F.rtrim("value", F.lit("\t")) if strict_last_field else F.col("value"), "\t")
     names = ["event_type" if name == "event" else name for name in sessionlog.LOG_FIELDS]
-    log = readers.read_lines(spark, source).select(*[F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    columns = [F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)]
+    if strict_last_field:
+        columns[-1] = F.get(fields, F.size(fields) - 1).alias(names[-1])
+    log = readers.read_lines(spark, source).select(*columns)
     counted = summaries.field_value_counts(log)
     sinks.write_lines(sinks.key_value_lines(counted, "field_value", "count"), target)
 
@@ -90,40 +100,48 @@ def vin_impressions(spark: SparkSession, session_path: str, impression_paths: li
     sinks.write_records(vin.vin_join(vin.vin_user_metrics(events), shown), target)
 
 
+def small_stored_sessions(stored: DataFrame, max_events: int = sessions.MAX_EVENTS) -> DataFrame:
+    """user_id, events: the stored sessions of at most ``max_events`` events. Larger ones are known by their size."""
+    size = F.col("n_events") if "n_events" in stored.columns else F.size("events")
+    return stored.filter(size <= max_events).select("user_id", "events")
+
+
 def session_bins(spark: SparkSession, session_path: str, target: str, counters: str | None = None) -> None:
-    """Sessions of at most 100 events, one directory per label; clickers and showers sampled."""
-    events = sessions.explode_sessions(readers.read_sessions(spark, session_path).drop("page"))
-    labelled = classify.classify_multi(sessions.small_sessions(events), require_contact_form=True)
+    """Sessions of at most 100 events, one directory per label; clickers and showers sampled. No shuffle."""
+    stored = readers.read_sessions(spark, session_path)
+    labelled = classify.classify_multi(small_stored_sessions(stored), require_contact_form=True)
     keys = ["session_type", "user_id"]
     sinks.write_by_label(keyed_sample(labelled, "session_type", keys, classify.SAMPLE_RATES), target)
     if counters:
-        sinks.write_records(metrics.filter_metrics(events.distinct()), counters)
+        flat = sessions.explode_sessions(stored.select("user_id", "events"))
+        sinks.write_records(metrics.filter_metrics(flat), counters)
 
 
 def subtype_statistics(spark: SparkSession, session_path: str, target: str, bins: str | None = None) -> None:
     """Statistics of all session types, one directory per type; the sessions of each type too if asked for."""
-    nested = readers.read_sessions(spark, session_path).drop("page")
-    events = shared(sessions.explode_sessions(nested).distinct())
-    sinks.write_by_label(subtypes.subtype_statistics(events), target)
+    stored = readers.read_sessions(spark, session_path)
+    flat = sessions.explode_sessions(stored.select("user_id", "events"))
+    sinks.write_by_label(subtypes.subtype_statistics(flat), target)
     if bins:
-        sinks.write_by_label(classify.classify_multi(sessions.small_sessions(events), False), bins)
+        sinks.write_by_label(classify.classify_multi(small_stored_sessions(stored), False), bins)
 
 
 def user_city_sessions(
-    spark: SparkSession, source: str, second_source: str, target: str, counters: str | None = None
+    spark: SparkSession, source: str, second_source: str, target: str, counters: str | None = None, rejects: str | None = None
 ) -> None:
     """Lines ``((user,city),[<type:subtype,time,vin>, ...])`` in key order; one in ten showers kept."""
     lines = readers.read_lines_union(spark, source, second_source)
     events = sessionlog.raw_events(lines, "value")
     runs = shared(sessions.event_runs(events, USER_CITY, USER_CITY_ORDER, dedupe=False))
-    labelled = classify.shower_sessions(runs, USER_CITY)
-    kept = keyed_sample(labelled, "session_type", USER_CITY, {"shower": classify.SHOWER_RATE}, inclusive=True)
-    pages = sessions.session_lists(sessions.keep_sessions(runs, kept, USER_CITY), USER_CITY, dedupe=False)
+    kept = sampled(classify.shower_label(), USER_CITY, {"shower": classify.SHOWER_RATE}, 42, inclusive=True)
+    pages = sessions.session_lists(runs, USER_CITY, dedupe=False, facts=classify.shower_facts(), kept=kept)
     key = F.concat(F.lit("("), F.concat_ws(",", *USER_CITY), F.lit(")"))
     shown = pages.orderBy(*USER_CITY, "page").select(key.alias("key"), sessions.session_text(F.col("events")).alias("list"))
     sinks.write_lines(sinks.pair_lines(shown, "key", "list"), target)
     if counters:
-        sinks.write_records(metrics.session_metrics(labelled, USER_CITY), counters)
+        sinks.write_records(metrics.session_metrics(classify.shower_sessions(runs, USER_CITY), USER_CITY), counters)
+    if rejects:
+        sinks.write_records(sessionlog.raw_event_rejects(lines, "value"), rejects)
 
 
 def table_statistics(spark: SparkSession, source: str, target: str, schema: str | None = None) -> None:

@@ -77,15 +77,20 @@ def is_shower(events: Column) -> Column:
     )
 
 
-def shower_sessions(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys, n_events, session_type (shower or other) from flat raw events or from their runs."""
+def shower_facts() -> dict[str, Column]:
+    """Aggregates over the raw events of a session that ``shower_label`` reads."""
     event_type, event_subtype = F.col("event_type"), F.col("event_subtype")
-    copies = F.col("copies") if "copies" in events.columns else F.lit(1).cast("bigint")
+    return {"shows": F.max(_shows(event_type)), "engages": F.max(_engages(event_type, event_subtype))}
 
-    def number(condition: Column) -> Column:
-        return F.sum(F.when(condition, copies).otherwise(F.lit(0)))
 
-    shower = (number(_shows(event_type)) > 0) & (number(_engages(event_type, event_subtype)) == 0)
-    return events.groupBy(*keys).agg(
-        F.sum(copies).alias("n_events"), F.when(shower, "shower").otherwise("other").alias("session_type")
-    )
+def shower_label() -> Column:
+    """shower or other, from the facts of a session."""
+    return F.when(F.col("shows") & ~F.coalesce("engages", F.lit(False)), "shower").otherwise("other")
+
+
+def shower_sessions(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, n_events, session_type (shower or other) from flat raw events or from their runs."""
+    copies = F.col("copies") if "copies" in events.columns else F.lit(1).cast("bigint")
+    facts = [fact.alias(name) for name, fact in shower_facts().items()]
+    profile = events.groupBy(*keys).agg(F.sum(copies).alias("n_events"), *facts)
+    return profile.select(*keys, "n_events", shower_label().alias("session_type"))

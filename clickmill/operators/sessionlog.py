@@ -148,16 +148,28 @@ def parse_session_log(
     return good.drop("line", "reason"), parsed.filter(rejected).select("line", "reason")
 
 
+def _raw_reason() -> Column:
+    """Why a line is no raw event; NULL for good lines. Lines short of the five fields that are read are faulty."""
+    event = _field("event")
+    return (
+        F.when(F.col("fields").isNull() | _field("vin").isNull(), "fewer than five fields")
+        .when(~F.contains(event, F.lit(" ")), "event without a subtype")
+    )
+
+
 def raw_events(df: DataFrame, line: str) -> DataFrame:
-    """user_id, city, event_type, event_subtype, event_time, vin as written; lines without a subtype or vin drop."""
-    present = F.col("vin").isNotNull() & F.contains(_field("event"), F.lit(" "))
-    fields = _fields(df, line).withColumn("vin", _field("vin")).filter(present)
+    """user_id, city, event_type, event_subtype, event_time, vin as written; faulty lines are left to the rejects."""
     event = _field("event")
-    return fields.select(
+    return _fields(df, line).filter(_raw_reason().isNull()).select(
         _field("user_id").alias("user_id"),
         _field("city").alias("city"),
         F.substring_index(event, " ", 1).alias("event_type"),
         F.substr(event, F.instr(event, " ") + 1).alias("event_subtype"),
         _field("event_timestamp").alias("event_time"),
-        "vin",
+        _field("vin").alias("vin"),
     )
+
+
+def raw_event_rejects(df: DataFrame, line: str) -> DataFrame:
+    """line, reason: the lines that ``raw_events`` leaves out."""
+    return _fields(df, line).select("line", _raw_reason().alias("reason")).filter("reason is not null")

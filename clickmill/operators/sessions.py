@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.operators.ordered import PAGE_SIZE, SPLIT_ROWS, list_pages, place, run_pages, with_keys
+from clickmill.operators.ordered import (
+    PAGE_SIZE,
+    SPLIT_ROWS,
+    large_keys,
+    list_pages,
+    place,
+    placed_parts,
+    run_pages,
+    with_keys,
+)
 
 BY_TIME = ("event_time", "event_type")
 MAX_EVENTS = 100
-JOIN_PARTS = 32
-# Spark's default bound for row number limits that are applied before the shuffle.
-GROUP_LIMIT = 1000
 
 
 def _ordered_fields(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
@@ -34,18 +40,6 @@ def event_runs(
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def keep_sessions(runs: DataFrame, kept: DataFrame, keys: Sequence[str], parts: int = JOIN_PARTS) -> DataFrame:
-    """The event runs of the sessions named in ``kept``, which holds each session once.
-
-    Each session is matched in ``parts`` parts, so a large one is spread over several tasks. As the rows are then
-    not clustered by the keys alone, whatever follows shuffles, and adaptive execution may split the parts further.
-    """
-    events = [c for c in runs.columns if c not in keys]
-    parted = runs.withColumn("part", F.pmod(F.xxhash64(*events), F.lit(parts)).cast("int"))
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-    return parted.join(kept.select(*keys, every_part), [*keys, "part"], "left_semi").drop("part")
-
-
 def sessionize(
     runs: DataFrame, keys: Sequence[str] = ("user_id",), dedupe: bool = True, split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
@@ -63,14 +57,23 @@ def session_lists(
     dedupe: bool = True,
     page_size: int = PAGE_SIZE,
     split_rows: int = SPLIT_ROWS,
+    facts: Mapping[str, Column] | None = None,
+    kept: Column | None = None,
 ) -> DataFrame:
-    """keys, page, events: each session as sorted arrays of at most ``page_size`` events."""
+    """keys, page, events: each session as sorted arrays of at most ``page_size`` events.
+
+    ``facts`` are named aggregates over the events of a session. With ``dedupe`` they are returned beside the keys.
+    Without it ``kept``, a condition on the keys and facts, says which sessions stay: the facts come from where the events
+    are sorted, so dropping sessions takes no shuffle or join.
+    """
     fields = [c for c in runs.columns if c not in keys and c != "copies"]
     event = F.struct(*fields)
     if dedupe:
-        return list_pages(runs.drop("copies"), keys, fields, event, "events", page_size, split_rows)
-    placed = sessionize(runs, keys, dedupe, split_rows)
-    return run_pages(placed, keys, event, "events", "copies", page_size)
+        return list_pages(runs.drop("copies"), keys, fields, event, "events", page_size, split_rows, facts)
+    parts = placed_parts(runs, keys, fields, "copies", split_rows, facts)
+    stay = kept if kept is not None else F.lit(True)
+    other, large = (run_pages(part.filter(stay), keys, event, "events", "copies", page_size) for part in parts)
+    return other.unionByName(large)
 
 
 def small_sessions(
@@ -82,15 +85,15 @@ def small_sessions(
     """keys, events: the sessions of at most ``max_events`` distinct events, whole, in one sorted array.
 
     Larger sessions are recognised by their event number max_events + 1 and dropped. Spark applies the row number
-    limit also before the shuffle, so a huge session costs each map task at most that many rows; as it does so only
-    below GROUP_LIMIT, larger sessions are dropped by their size first where max_events is beyond that.
+    limit also before the shuffle, so a huge session costs each map task at most that many rows; as it does so only up
+    to a limit of its own, huge sessions are dropped by their size first where max_events is beyond that.
     """
     fields = _ordered_fields(events, keys, order)
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*fields))
     distinct = with_keys(events, keys).select(*keys, *fields).distinct()
-    if max_events >= GROUP_LIMIT:
-        sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_events"))
-        distinct = keep_sessions(distinct, sizes.filter(F.col("n_events") <= max_events), keys)
+    if max_events >= int(events.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        huge = large_keys(distinct, keys, max(max_events, SPLIT_ROWS))
+        distinct = distinct.join(F.broadcast(huge), list(keys), "left_anti")
     head = distinct.withColumn("number", number).filter(F.col("number") <= max_events + 1)
     original = [c for c in events.columns if c not in keys]
     listed = F.sort_array(F.collect_list(F.struct("number", F.struct(*original).alias("event"))))

@@ -18,27 +18,32 @@ COUNTED_FIELDS = (
 COUNTED_LISTS = ("features",)
 
 
+PRICE_TYPE = "decimal(18,4)"
+
+
 def price_statistics(df: DataFrame) -> DataFrame:
     """make, model, min, max, avg over the distinct non-zero prices of each make and model, sorted.
 
+    Prices are numbers to four decimal places, so 10 and 10.0 are one price, sums are exact, and an average is one division.
     A price that is not a number counts as missing.
     """
-    price = F.col("price").try_cast("double")
-    prices = df.select("make", "model", "price").filter(price != 0).distinct()
+    price = F.col("price").try_cast(PRICE_TYPE).alias("price")
+    prices = df.select("make", "model", price).filter("price <> 0").distinct()
+    exact = F.sum("price").cast("double") / F.count("price")
     return (
         prices.groupBy("make", "model")
-        .agg(F.min(price).alias("min"), F.max(price).alias("max"), F.avg(price).alias("avg"))
+        .agg(F.min("price").cast("double").alias("min"), F.max("price").cast("double").alias("max"), exact.alias("avg"))
         .orderBy("make", "model")
     )
 
 
 def mileage_statistics(df: DataFrame) -> DataFrame:
-    """year, min, max, avg over the distinct non-zero mileages of each year, sorted."""
-    mileage = F.col("mileage").try_cast("int")
-    miles = df.select("year", "mileage").filter(mileage != 0).distinct()
+    """year, min, max, avg over the distinct non-zero mileages (whole numbers) of each year, sorted."""
+    mileage = F.col("mileage").try_cast("int").alias("mileage")
+    miles = df.select("year", mileage).filter("mileage <> 0").distinct()
     return (
         miles.groupBy("year")
-        .agg(F.min(mileage).alias("min"), F.max(mileage).alias("max"), F.avg(mileage).alias("avg"))
+        .agg(F.min("mileage").alias("min"), F.max("mileage").alias("max"), F.avg("mileage").alias("avg"))
         .orderBy("year")
     )
 

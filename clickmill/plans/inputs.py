@@ -44,7 +44,8 @@ SELECT {user} AS user_id,
        CASE WHEN p_size % 5 = 0 THEN 'null' ELSE concat('trim', CAST(p_size % 5 AS STRING)) END AS trim,
        {pick("p_size % 4", ("SUV", "Sedan", "Coupe", "null"))} AS body_style,
        {pick("p_size % 3", ("Crew Cab", "Regular Cab", "null"))} AS cab_style,
-       CASE WHEN l_partkey % 10 = 0 THEN '0.0' ELSE CAST(p_retailprice AS STRING) END AS price,
+       CASE l_partkey % 10 WHEN 0 THEN '0.0' WHEN 1 THEN '950' WHEN 2 THEN '950.0'
+            ELSE CAST(p_retailprice AS STRING) END AS price,
        CAST(l_partkey * 7 % 1000 * CAST(l_quantity AS BIGINT) AS STRING) AS mileage,
        CASE WHEN l_discount > 0.05 THEN 't' ELSE 'f' END AS free_carfax_report,
        {pick("p_size % 4", ("Sunroof:ABS:Radio", "null", "GPS", "Radio:GPS"))} AS features
@@ -82,6 +83,13 @@ SELECT concat_ws(chr(9), user_id, CASE WHEN year = '1999' THEN concat('un', even
 FROM ({LOG}) AS l
 """
 
+# Lines with faults, of which the first five fields are read.
+FAULTY_RAW_LINES = f"""
+SELECT CASE WHEN line LIKE '%city3%' THEN replace(line, ' ', '') WHEN line LIKE '%city5%' THEN split_part(line, chr(9), 2)
+            ELSE line END AS line
+FROM ({lines(LOG)}) AS l
+"""
+
 # A second log, from the event stream; only the first five fields are filled.
 STREAM_LINES = """
 SELECT concat_ws(chr(9), concat('u', CAST(user_id AS STRING)),
@@ -102,12 +110,30 @@ SELECT concat('Message-ID: <', CAST(o_orderkey AS STRING), '@m> Date: x From: c'
 FROM {orders}
 """
 
+# Mails whose id header is the last token (some of them past the end mark), and mails with addresses before or without an id.
+FAULTY_MAIL = f"""
+SELECT CASE WHEN m % 7 = 0 THEN concat('To: a@x.com ', line, ' Message-ID:')
+            WHEN m % 11 = 0 THEN replace(line, 'X-From: c1@never.com', 'message-id:')
+            WHEN m % 5 = 0 THEN concat('Bcc: early', CAST(m % 13 AS STRING), '@e.com ', line)
+            WHEN m % 3 = 0 THEN replace(line, 'Message-ID:', 'Id:') ELSE line END AS line
+FROM (SELECT line, CAST(substr(split_part(line, '@', 1), 14) AS BIGINT) AS m FROM ({MAIL}) AS mails) AS numbered
+"""
+
 VERSES = """
 SELECT concat('book', chr(CAST(97 + doc_id % 5 AS INT)), ':', CAST(1 + doc_id % 50 AS STRING), ':',
               CAST(doc_id AS STRING), ' ', text) AS line
 FROM {documents}
 """
 
+# Some ids are cut, some numbers are words, and some have more parts.
+FAULTY_VERSES = """
+SELECT CASE doc_id % 6 WHEN 1 THEN concat('book:', CAST(doc_id AS STRING), ' ', text)
+                       WHEN 2 THEN concat('book:one:', CAST(doc_id AS STRING), ' ', text)
+                       WHEN 3 THEN concat('book:1:', CAST(doc_id AS STRING), ':9 ', text)
+                       WHEN 4 THEN concat('book:1:', CAST(doc_id AS STRING)) ELSE text END AS line
+FROM {documents}
+"""
+
 # Several rows per vehicle, vehicles without rows, rows of unknown vehicles and of unknown types.
 IMPRESSIONS = """
 SELECT concat('V', CAST(c_custkey AS STRING)) AS vin,
@@ -131,13 +157,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run one of the texts above on the tables of ``sf_dir``.
-
-    Tables that the line items are joined with are broadcast or shuffled by the join; the others are spread.
-    """
-    joined = ("orders", "part") if "{lineitem}" in text else ()
+    """Run one of the texts above on the tables of ``sf_dir``."""
     used = {name: table(spark, sf_dir, name) for name in BASE_TABLES if "{" + name + "}" in text}
-    return spark.sql(text, **{name: df if name in joined else spread(df) for name, df in used.items()})
+    if "documents" in used:
+        used["documents"] = spread(used["documents"])
+    return spark.sql(text, **used)
 
 
 def for_duckdb(text: str) -> str:

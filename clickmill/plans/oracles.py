@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickmill.plans import inputs
 
 PAGE = 10000
+SMALL_PAGE = 7
 SUBTYPES = [s.upper().replace(" ", "_") for s in inputs.SUBTYPES]
 
 
@@ -50,8 +51,9 @@ UNION ALL SELECT 'words_out', count(*) FROM ({_tokens('text')}) WHERE word <> ''
 
 # ---- e-mail and verse indexes
 
-EMAIL = rf"""
-WITH mails AS (SELECT row_number() OVER () AS m, line FROM ({_in(inputs.MAIL)})),
+def _email(mails: str) -> str:
+    return rf"""
+WITH mails AS MATERIALIZED (SELECT row_number() OVER () AS m, line FROM ({_in(mails)})),
      split AS (SELECT m, list_filter(regexp_split_to_array(replace(line, ',', ' '), {WS}), lambda t: t <> '') AS toks
                FROM mails),
      toks AS (SELECT m, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS i FROM split),
@@ -71,25 +73,60 @@ WITH mails AS (SELECT row_number() OVER () AS m, line FROM ({_in(inputs.MAIL)}))
        SELECT concat(coalesce(header, ''), tok) AS reference, message_id FROM state
        WHERE contains(tok, '@') AND NOT is_id AND own_header IS NULL AND ended = 0)"""
 
-EMAIL_INDEX = f"""{EMAIL},
+
+EMAIL = _email(inputs.MAIL)
+_VALUELESS = f"SELECT line FROM ({inputs.FAULTY_MAIL}) AS f WHERE line LIKE '%message-id:'"
+FAULTY_EMAIL = _email(f"SELECT line FROM ({inputs.FAULTY_MAIL}) AS f WHERE NOT line LIKE '%message-id:'")
+EMAIL_REJECTS = f"""{FAULTY_EMAIL}
+SELECT line, 'address without a message id' AS reason FROM mails WHERE m IN (
+  SELECT m FROM state WHERE contains(tok, '@') AND NOT is_id AND own_header IS NULL AND ended = 0 AND message_id IS NULL)
+UNION ALL SELECT line, 'message id header without a value' FROM ({_in(_VALUELESS)})"""
+
+
+def _email_index(mails: str, page: int) -> str:
+    return f"""{mails},
      places AS (
-       SELECT *, (row_number() OVER (PARTITION BY reference ORDER BY message_id) - 1) // {PAGE} AS page
+       SELECT *, (row_number() OVER (PARTITION BY reference ORDER BY message_id) - 1) // {page} AS page
        FROM (SELECT DISTINCT reference, message_id FROM refs WHERE message_id IS NOT NULL))
 SELECT reference, page, string_agg(message_id, ',' ORDER BY message_id) AS message_ids
 FROM places GROUP BY reference, page"""
 
-VERSE = rf"""
+
+EMAIL_INDEX = _email_index(EMAIL, PAGE)
+
+def _verse(words: str) -> str:
+    return rf"""
 WITH verses AS (SELECT split_part(line, ' ', 1) AS verse_id, line FROM ({_in(inputs.VERSES)})),
-     words AS (SELECT verse_id, unnest(regexp_split_to_array(lower(line), '[\d[:punct:]\s\x0B]+')) AS word FROM verses),
+     texts AS (SELECT verse_id, lower(substr(line, length(verse_id) + 2)) AS text FROM verses),
+     words AS ({words}),
      postings AS (SELECT DISTINCT word, verse_id, split_part(verse_id, ':', 1) AS book,
                          CAST(split_part(verse_id, ':', 2) AS INT) AS chapter,
                          CAST(split_part(verse_id, ':', 3) AS INT) AS verse
-                  FROM words WHERE word <> ''),
+                  FROM words),
      places AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY book, chapter, verse, verse_id) - 1 AS start,
                        count(*) OVER (PARTITION BY word) AS n_refs
                 FROM postings)"""
 
+
+_BREAKS = r"[\d[:punct:]\s\x0B]+"
+VERSE = _verse(
+    f"""SELECT * FROM (SELECT verse_id, unnest(regexp_split_to_array(lower(line), '{_BREAKS}')) AS word FROM verses)
+       WHERE word <> ''"""
+)
+# The words of the texts; an empty first word stays, unless the text holds nothing else.
+TEXT_VERSE = _verse(
+    f"""SELECT verse_id, unnest(list_concat(parts[1:1], list_filter(parts[2:], lambda w: w <> ''))) AS word
+       FROM (SELECT verse_id, regexp_split_to_array(text, '{_BREAKS}') AS parts FROM texts
+             WHERE NOT regexp_full_match(text, '{_BREAKS}'))"""
+)
+
 _VERSE_IDS = "concat('[', string_agg(verse_id, ', ' ORDER BY start), ']') AS verse_ids"
+VERSE_INDEX_TEXT_WORDS = (
+    f"{TEXT_VERSE} SELECT word, start // {SMALL_PAGE} AS page, {_VERSE_IDS} FROM places GROUP BY 1, 2"
+)
+_CHAPTER, _VERSE_NUMBER = (f"split_part(split_part(line, ' ', 1), ':', {part})" for part in (2, 3))
+VERSE_REJECTS = f"""SELECT line, 'id is not book:chapter:verse' AS reason FROM ({_in(inputs.FAULTY_VERSES)})
+WHERE try_cast({_CHAPTER} AS INT) IS NULL OR try_cast({_VERSE_NUMBER} AS INT) IS NULL"""
 VERSE_INDEX = f"{VERSE} SELECT word, start // {PAGE} AS page, {_VERSE_IDS} FROM places GROUP BY 1, 2"
 VERSE_INDEX_BY_REFS = (
     f"{VERSE} SELECT word, n_refs, start // {PAGE} AS page, {_VERSE_IDS} FROM places GROUP BY 1, 2, 3"
@@ -150,6 +187,8 @@ _EVENT_LIST = f"concat('[', string_agg({_EVENT_TEXT}, ', ' ORDER BY pos), ']') A
 SESSIONIZE = f"{_distinct_events(inputs.RESENT_LOG)}, {_PLACED} SELECT {EVENT_FIELDS}, pos FROM placed"
 SESSION_LISTS = f"""{_distinct_events(inputs.RESENT_LOG)}, {_PLACED}
 SELECT user_id, pos // {PAGE} AS page, count(*) AS n_events, {_EVENT_LIST} FROM placed GROUP BY 1, 2"""
+SESSION_LISTS_PAGED = f"""{_distinct_events(inputs.RESENT_LOG)}, {_PLACED}
+SELECT user_id, n_all, pos // {SMALL_PAGE} AS page, count(*) AS n_events, {_EVENT_LIST} FROM placed GROUP BY 1, 2, 3"""
 SMALL_SESSIONS = f"""{_distinct_events(inputs.LOG)}, {_PLACED}
 SELECT user_id, count(*) AS n_events, {_EVENT_LIST} FROM placed WHERE n_all <= 100 GROUP BY 1"""
 
@@ -214,12 +253,25 @@ UNION ALL SELECT 'events_after', CAST(sum(n_events) AS BIGINT) FROM drawn WHERE
 UNION ALL SELECT 'sessions', count(*) FROM drawn WHERE kept
 UNION ALL SELECT 'shower_sessions', count(*) FROM drawn WHERE session_type = 'shower'
 UNION ALL SELECT 'shower_sessions_dropped', count(*) FROM drawn WHERE NOT kept"""
-USER_CITY = f"""{_raw(_TWO_LOGS)},
+
+
+def _user_city(page: int) -> str:
+    return f"""{_raw(_TWO_LOGS)},
      placed AS (
        SELECT raw.*, row_number() OVER (PARTITION BY user_id, city
                 ORDER BY event_time, event_type, event_subtype, vin) - 1 AS pos
        FROM raw JOIN drawn USING (user_id, city) WHERE kept)
-SELECT user_id, city, pos // {PAGE} AS page, count(*) AS n_events, {_EVENT_LIST} FROM placed GROUP BY 1, 2, 3"""
+SELECT user_id, city, pos // {page} AS page, count(*) AS n_events, {_EVENT_LIST} FROM placed GROUP BY 1, 2, 3"""
+
+
+_RAW_REASON = """CASE WHEN len(string_split(line, chr(9))) < 5 THEN 'fewer than five fields'
+                      WHEN NOT contains(split_part(line, chr(9), 2), ' ') THEN 'event without a subtype' END"""
+_FAULTY_RAW = f"(SELECT line, {_RAW_REASON} AS reason FROM ({_in(inputs.FAULTY_RAW_LINES)}))"
+RAW_EVENT_REJECTS = f"SELECT line, reason FROM {_FAULTY_RAW} WHERE reason IS NOT NULL"
+RAW_EVENTS = f"""
+SELECT f[1] AS user_id, f[4] AS city, split_part(f[2], ' ', 1) AS event_type,
+       substr(f[2], strpos(f[2], ' ') + 1) AS event_subtype, f[3] AS event_time, f[5] AS vin
+FROM (SELECT string_split(line, chr(9)) AS f FROM {_FAULTY_RAW} WHERE reason IS NULL)"""
 
 # ---- vehicles
 
@@ -265,8 +317,9 @@ FROM sums"""
 
 _LOG = _in(inputs.LOG)
 PRICE = f"""
-SELECT make, model, min(p) AS min, max(p) AS max, round(avg(p) + 1e-9, 6) AS avg
-FROM (SELECT DISTINCT make, model, CAST(price AS DOUBLE) AS p FROM ({_LOG}) WHERE CAST(price AS DOUBLE) <> 0)
+SELECT make, model, CAST(min(p) AS DOUBLE) AS min, CAST(max(p) AS DOUBLE) AS max,
+       CAST(sum(p) AS DOUBLE) / count(*) AS avg
+FROM (SELECT DISTINCT make, model, try_cast(price AS DECIMAL(18, 4)) AS p FROM ({_LOG})) WHERE p <> 0
 GROUP BY make, model"""
 MILEAGE = f"""
 SELECT year, min(m) AS min, max(m) AS max, avg(m) AS avg
@@ -314,7 +367,15 @@ ORACLES = {
     "session_labels_sampled": LABELS_SAMPLED,
     "session_bins": SESSION_BINS,
     "shower_filter": SHOWER_FILTER,
-    "user_city_sessions": USER_CITY,
+    "user_city_sessions": _user_city(PAGE),
+    "user_city_sessions_paged": _user_city(SMALL_PAGE),
+    "raw_event_rejects": RAW_EVENT_REJECTS,
+    "raw_events": RAW_EVENTS,
+    "session_lists_paged": SESSION_LISTS_PAGED,
+    "verse_rejects": VERSE_REJECTS,
+    "verse_index_text_words": VERSE_INDEX_TEXT_WORDS,
+    "email_rejects": EMAIL_REJECTS,
+    "email_index_faulty": _email_index(FAULTY_EMAIL, SMALL_PAGE),
     "session_metrics": SESSION_METRICS,
     "filter_metrics": FILTER_METRICS,
     "vin_user_metrics": f"{_VIN} SELECT * FROM users",

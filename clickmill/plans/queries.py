@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.functions.sampling import keyed_sample
+from clickmill.functions.sampling import keyed_sample, sampled
 from clickmill.functions.text import tokenize_lower
 from clickmill.jobs import USER_CITY, USER_CITY_ORDER
 from clickmill.operators import classify, index, metrics, sessionlog, sessions, subtypes, summaries, vin, words
@@ -15,6 +15,9 @@ from clickmill.plans import inputs
 from clickmill.sources import sinks
 from clickmill.sources.readers import spread
 
+# Sizes at which the given tables fill pages and have keys that are sorted in ranges.
+SMALL_PAGE, SMALL_SPLIT = 7, 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -91,6 +94,35 @@ def email_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("reference", "page", sinks.comma_joined(F.col("message_ids")).alias("message_ids"))
 
 
+@query
+def email_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails without a value after the id header, and mails with addresses that no id comes before."""
+    mails = inputs.derive(spark, sf_dir, inputs.FAULTY_MAIL)
+    return index.email_rejects(mails, "line").unionByName(index.id_less_mails(mails, "line"))
+
+
+@query
+def email_index_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of the faulty mails, in pages of three ids, the large keys sorted in ranges."""
+    references = index.email_references(inputs.derive(spark, sf_dir, inputs.FAULTY_MAIL), "line")
+    pages = index.email_index(references, page_size=SMALL_PAGE, split_rows=SMALL_SPLIT)
+    return pages.select("reference", "page", sinks.comma_joined(F.col("message_ids")).alias("message_ids"))
+
+
+@query
+def verse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.verse_rejects(inputs.derive(spark, sf_dir, inputs.FAULTY_VERSES), "line")
+
+
+@query
+def verse_index_text_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the words of the ids, with empty leading words, in small pages, the large keys sorted in ranges."""
+    lines = inputs.derive(spark, sf_dir, inputs.VERSES)
+    postings = index.verse_postings(lines, "line", index_id_tokens=False, keep_leading_empty=True)
+    pages = index.verse_index(postings, page_size=SMALL_PAGE, split_rows=SMALL_SPLIT)
+    return pages.select("word", "page", sinks.bracketed(F.col("verse_ids")).alias("verse_ids"))
+
+
 @query
 def verse_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = index.verse_postings(inputs.derive(spark, sf_dir, inputs.VERSES), "line")
@@ -101,7 +133,7 @@ def verse_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def verse_index_by_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     postings = index.verse_postings(inputs.derive(spark, sf_dir, inputs.VERSES), "line")
-    pages = index.by_reference_count(index.verse_index(postings), postings)
+    pages = index.by_reference_count(index.verse_index(postings, n_refs="n_refs"))
     return pages.select("word", "n_refs", "page", sinks.bracketed(F.col("verse_ids")).alias("verse_ids"))
 
 
@@ -119,6 +151,16 @@ def session_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects
 
 
+@query
+def raw_event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessionlog.raw_event_rejects(inputs.derive(spark, sf_dir, inputs.FAULTY_RAW_LINES), "line")
+
+
+@query
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessionlog.raw_events(inputs.derive(spark, sf_dir, inputs.FAULTY_RAW_LINES), "line")
+
+
 @query
 def field_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.derive(spark, sf_dir, inputs.LOG).withColumnRenamed("event", "event_type")
@@ -139,6 +181,16 @@ def session_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("user_id", "page", F.size("events").alias("n_events"), text.alias("events"))
 
 
+@query
+def session_lists_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions in small pages with their sizes, the large ones sorted in ranges."""
+    runs = sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG))
+    size = {"n_all": F.count(F.lit(1))}
+    pages = sessions.session_lists(runs, page_size=SMALL_PAGE, split_rows=SMALL_SPLIT, facts=size)
+    text = sessions.session_text(F.col("events"))
+    return pages.select("user_id", "n_all", "page", F.size("events").alias("n_events"), text.alias("events"))
+
+
 @query
 def small_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sessions of at most 100 events."""
@@ -180,17 +232,25 @@ def shower_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_sample(labelled, "session_type", USER_CITY, {"shower": classify.SHOWER_RATE}, inclusive=True)
 
 
+def _user_city_pages(spark: SparkSession, sf_dir: str, **sizes: int) -> DataFrame:
+    runs = sessions.event_runs(_city_events(spark, sf_dir), USER_CITY, USER_CITY_ORDER, dedupe=False)
+    kept = sampled(classify.shower_label(), USER_CITY, {"shower": classify.SHOWER_RATE}, 42, inclusive=True)
+    facts = classify.shower_facts()
+    pages = sessions.session_lists(runs, USER_CITY, dedupe=False, facts=facts, kept=kept, **sizes)
+    text = sessions.session_text(F.col("events"))
+    return pages.select("user_id", "city", "page", F.size("events").alias("n_events"), text.alias("events"))
+
+
 @query
 def user_city_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two logs as one, sessions by user and city, showers sampled, duplicates kept, sorted by user and city."""
-    runs = sessions.event_runs(_city_events(spark, sf_dir), USER_CITY, USER_CITY_ORDER, dedupe=False)
-    labelled = classify.shower_sessions(runs, USER_CITY)
-    kept = keyed_sample(labelled, "session_type", USER_CITY, {"shower": classify.SHOWER_RATE}, inclusive=True)
-    pages = sessions.session_lists(sessions.keep_sessions(runs, kept, USER_CITY), USER_CITY, dedupe=False)
-    text = sessions.session_text(F.col("events"))
-    return pages.select(
-        "user_id", "city", "page", F.size("events").alias("n_events"), text.alias("events")
-    ).orderBy("user_id", "city", "page")
+    return _user_city_pages(spark, sf_dir).orderBy("user_id", "city", "page")
+
+
+@query
+def user_city_sessions_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in small pages, the large sessions sorted in ranges."""
+    return _user_city_pages(spark, sf_dir, page_size=SMALL_PAGE, split_rows=SMALL_SPLIT)
 
 
 @query
@@ -245,10 +305,7 @@ def subtype_statistics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def price_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = summaries.price_statistics(inputs.derive(spark, sf_dir, inputs.LOG))
-    # The last bits of an average of doubles depend on the order of the sum. Rounding hides that, except for exact
-    # halves at the sixth digit (averages over 64 prices, say); the added billionth rounds those one way.
-    return found.withColumn("avg", F.round(F.col("avg") + 1e-9, 6))
+    return summaries.price_statistics(inputs.derive(spark, sf_dir, inputs.LOG))
 
 
 @query

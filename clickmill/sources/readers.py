@@ -17,9 +17,9 @@ SESSION_SCHEMA = """
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores, dealt out to all of them; larger ones as they are."""
+    """Long texts in fewer files than the cluster has cores, dealt out to all of them; more files as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

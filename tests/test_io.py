@@ -79,8 +79,11 @@ def test_layout_by_city_keeps_the_rows(spark):
     assert laid_out.rdd.getNumPartitions() == 6 and sorted(rows(laid_out)) == sorted(rows(df))
 
 
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
+def test_few_files_are_spread_and_many_left_alone(spark, out_dir):
     cores = spark.sparkContext.defaultParallelism
-    assert readers.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100, numPartitions=cores + 1)
-    assert readers.spread(wide) is wide
+    for files, spread in ((1, True), (cores + 1, False)):
+        path = os.path.join(out_dir, str(files))
+        spark.range(100).repartition(files).write.parquet(path)
+        df = spark.read.parquet(path)
+        assert (readers.spread(df) is not df) == spread
+        assert sorted(rows(readers.spread(df))) == [(i,) for i in range(100)]

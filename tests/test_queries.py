@@ -63,27 +63,37 @@ def test_scans_read_only_the_columns_they_need(spark):
 
 
 def final_plan(df):
+    """The plan that ran, without the initial plans, also those of subqueries."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    kept, skipped = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if skipped is not None and depth > skipped:
+            continue
+        skipped = depth if "== Initial Plan ==" in line else None
+        kept.append(line)
+    return "\n".join(kept)
 
 
 @needs_data
-def test_branches_of_split_keys_share_one_scan_and_shuffle(spark):
+def test_branches_of_large_keys_share_one_scan_and_their_ranges(spark):
     postings = index.verse_postings(inputs.derive(spark, SF_DIR, inputs.VERSES), "line")
     plan = final_plan(index.verse_index(postings, split_rows=20))
-    assert "marks" in plan and "BroadcastHashJoin [word, piece]" in re.sub(r"#\d+", "", plan)
-    assert plan.count("Scan parquet") == 1 and plan.count("ReusedExchange") >= 3
+    assert plan.count("Scan parquet") == 1
+    # Numbers and offsets of the ranges come from the same shuffle: it is made once and reused.
+    assert len(re.findall(r"(?m)^[ :+-]*Exchange rangepartitioning", plan)) == 1
+    assert plan.count("ReusedExchange") >= 3
     events, _ = sessionlog.parse_session_log(inputs.derive(spark, SF_DIR, inputs.lines(inputs.LOG)), "line")
     plan = final_plan(sessions.session_lists(sessions.event_runs(events), split_rows=20))
-    assert plan.count("Scan parquet") == 3 and plan.count("ReusedExchange") >= 3
+    assert len(re.findall(r"(?m)^[ :+-]*Exchange rangepartitioning", plan)) == 1
 
 
 @needs_data
 def test_without_large_keys_the_branches_vanish(spark):
     postings = index.verse_postings(inputs.derive(spark, SF_DIR, inputs.VERSES), "line")
     plan = final_plan(index.verse_index(postings))
-    assert plan.count("Scan parquet") == 1 and "BroadcastExchange" not in plan
-    assert len(re.findall(r"\bExchange hashpartitioning", plan)) == 2
+    assert plan.count("Scan parquet") == 1 and "rangepartitioning" not in plan
+    assert len(re.findall(r"\bExchange hashpartitioning", plan)) <= 2
 
 
 @needs_data

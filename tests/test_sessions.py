@@ -81,10 +81,9 @@ def test_user_city_lists_match_brute_force_with_a_large_session(spark):
         if user != "u3":
             expected[user, city].append((time, kind, subtype, vin))
     runs = sessions.event_runs(df, USER_CITY, USER_CITY_ORDER, dedupe=False)
-    kept = df.select("user_id", "city").distinct().filter(F.col("user_id") != "u3")
-    left = sessions.keep_sessions(runs, kept, USER_CITY)
+    facts, kept = {"last": F.max("event_time")}, (F.col("user_id") != "u3") & F.col("last").isNotNull()
     for split_rows, page_size in ((20, 50), (10**6, 10**4)):
-        pages = sessions.session_lists(left, USER_CITY, dedupe=False, page_size=page_size, split_rows=split_rows)
+        pages = sessions.session_lists(runs, USER_CITY, False, page_size, split_rows, facts, kept)
         found = defaultdict(list)
         for r in pages.orderBy("user_id", "city", "page").collect():
             assert len(r["events"]) <= page_size
