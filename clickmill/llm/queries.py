@@ -94,4 +94,61 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    # Quotations by joins with all originals of the conversation, replies in depth-first order by a recursive walk.
+    "op9_quotation_links": r"""
+        WITH RECURSIVE m AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text)) AS spot
+            FROM (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+        ), split AS (
+            SELECT conv_id, spot, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS lines FROM m
+        ), raw AS (
+            SELECT conv_id, spot, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM split
+        ), lines AS (
+            SELECT conv_id, spot, i, regexp_replace(line, '^[ \t]*((?:>[ \t]?)+)', '') AS line,
+                   length(regexp_replace(regexp_extract(line, '^[ \t]*((?:>[ \t]?)+)', 1), '[^>]', '', 'g')) AS level
+            FROM raw
+        ), marked AS (
+            SELECT *, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS words,
+                   level = 0 AND NOT (coalesce(lead(level) OVER w, 0) > 0
+                     AND regexp_matches(line, '(?i)^[ \t]*(?:on\b.*\bwrote|.*\b(?:said|wrote)):[ \t]*$')) AS own,
+                   coalesce(level <> lag(level) OVER w, true) AS opens
+            FROM lines WINDOW w AS (PARTITION BY conv_id, spot ORDER BY i)
+        ), numbered AS (
+            SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY conv_id, spot ORDER BY i) AS passage FROM marked
+        ), cut AS (
+            SELECT conv_id, spot, passage, level, string_agg(words, ' ' ORDER BY i) AS whole,
+                   max(struct_pack(n := length(words), line := words)).line AS longest
+            FROM numbered WHERE words <> '' GROUP BY conv_id, spot, passage, level
+        ), units AS (
+            SELECT conv_id, spot, string_agg(words, ' ' ORDER BY i) AS key FROM numbered WHERE own AND words <> '' GROUP BY conv_id, spot
+            UNION SELECT conv_id, spot, whole FROM cut WHERE level = 0
+            UNION SELECT conv_id, spot, words FROM numbered WHERE level = 0 AND words <> ''
+        ), quoted AS (
+            SELECT c.conv_id, c.spot, c.passage, c.level,
+                   coalesce(max(CASE WHEN u.key = c.whole THEN u.spot END), max(u.spot)) AS original
+            FROM cut AS c LEFT JOIN units AS u ON u.conv_id = c.conv_id AND u.spot < c.spot AND u.key IN (c.whole, c.longest)
+            WHERE c.level > 0 GROUP BY c.conv_id, c.spot, c.passage, c.level
+        ), found AS (
+            SELECT conv_id, spot, count(*) AS n_quoted, count(original) AS n_linked,
+                   min(CASE WHEN original IS NOT NULL THEN struct_pack(l := level, p := passage, o := original) END).o AS original
+            FROM quoted GROUP BY conv_id, spot
+        ), texts AS (
+            SELECT conv_id, spot, regexp_replace(coalesce(string_agg(CASE WHEN own THEN line END, chr(10) ORDER BY i), ''),
+                                               '^[\s\x0B]+|[\s\x0B]+$', '', 'g') AS text
+            FROM numbered GROUP BY conv_id, spot
+        ), linked AS (
+            SELECT m.conv_id, m.spot, m.turn, m.role, texts.text, coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked,
+                   coalesce(original, CASE WHEN m.spot > 1 THEN m.spot - 1 END) AS parent
+            FROM m JOIN texts USING (conv_id, spot) LEFT JOIN found USING (conv_id, spot)
+        ), walk AS (
+            SELECT conv_id, spot, [spot] AS path FROM linked WHERE parent IS NULL
+            UNION ALL
+            SELECT l.conv_id, l.spot, list_append(w.path, l.spot) FROM linked AS l JOIN walk AS w ON l.conv_id = w.conv_id AND l.parent = w.spot
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY path) AS position FROM walk JOIN linked USING (conv_id, spot)
+        )
+        SELECT p.conv_id, p.position, p.turn, p.role, p.text, o.position AS reply_to, o.turn AS reply_to_turn,
+               p.n_quoted, p.n_linked, concat('<|', coalesce(p.role, ''), '|>', chr(10), p.text, chr(10)) AS formatted
+        FROM placed AS p LEFT JOIN placed AS o ON o.conv_id = p.conv_id AND o.spot = p.parent
+    """,
 }

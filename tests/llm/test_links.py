@@ -2,13 +2,14 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from clickmill.llm import decontamination, quotations, vector_search
 from clickmill.llm.common import table
-from clickmill.llm.queries import QUERIES
+from clickmill.llm.queries import ORACLES, QUERIES
 
 QUESTION = "Anna buys 12 apples for 3 euros each on Monday and gives 12 of them to Peter. How much money is left in the purse of Anna?"
 OTHER = "Maria buys 40 apples for 7 euros each on Friday and gives 40 of them to Josef. How much money is left in the purse of Maria?"
@@ -112,6 +113,37 @@ MAIL = [
 CHAT = "conv_id bigint, turn bigint, role string, text string"
 
 
+def in_duckdb(name, **tables):
+    """The rows of a query's SQL over small tables, with the columns' names."""
+    con = duckdb.connect()
+    for table_name, frame in tables.items():
+        con.register(table_name, frame.toArrow())
+    result = con.execute(ORACLES[name])
+    return [c[0] for c in result.description], result.fetchall()
+
+
+def test_quotations_equal_their_sql(spark):
+    rng = np.random.default_rng(3)
+    lines = ["Hello there, friend.", "How are you?", "ok", "Fine", "", "On Monday x wrote:", "é à!"]
+    rows = list(MAIL)
+    for conv in range(10, 40):
+        for turn in range(8):
+            text = "\n".join(">" * int(rng.integers(0, 3)) + " " * int(rng.integers(0, 2)) + lines[rng.integers(0, len(lines))] for _ in range(rng.integers(0, 5)))
+            rows.append((conv, turn, "u", text))
+    messages = spark.createDataFrame(rows, CHAT)
+    names, wanted = in_duckdb("op9_quotation_links", conversations=messages)
+    found = [tuple(r) for r in quotations.reply_ordered(messages).select(*names).collect()]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    used = {t: table(spark, sf_dir, t) for t in ("embeddings", "conversations")}
+    names, wanted = in_duckdb(name, **used)
+    found = [tuple(r) for r in QUERIES[name](spark, sf_dir).select(*names).collect()]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
 def test_quotations_order_replies(spark):
     found = quotations.reply_ordered(spark.createDataFrame(MAIL, CHAT)).orderBy("conv_id", "position").collect()
     assert [(r["conv_id"], r["turn"], r["text"], r["reply_to"], r["n_quoted"], r["n_linked"]) for r in found] == [
