@@ -74,8 +74,15 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 
 def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
-    """At most ``rows`` rows, those with the smallest hash of the key: the same ones in every run."""
-    return df.orderBy(F.xxhash64(*key), *key).limit(rows)
+    """At most ``rows`` rows, those with the smallest hash of the key: the same ones in every run.
+
+    A threshold on the hash, from the number of rows, leaves little more than that before they are sorted in one task.
+    """
+    number = F.xxhash64(*key)
+    share = 1.5 * (rows + 100) / max(df.count(), 1)
+    if share < 1:
+        df = df.filter(number.cast("double") < F.lit((2 * share - 1) * 2.0**63))
+    return df.orderBy(number, *key).limit(rows)
 
 
 class WordHash(dict):

@@ -74,9 +74,9 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
-    """The languages, and log-probabilities by language and bucket, from at most ``sample`` rows of text, lang."""
-    labelled = docs.filter("lang is not null and text is not null").select(F.lower("lang").alias("lang"), "text")
-    chosen = sampled(labelled, sample, "text", "lang").select("lang", "text")
+    """The languages, and log-probabilities by language and bucket, from at most ``sample`` rows of doc_id, text, lang."""
+    labelled = docs.filter("lang is not null and text is not null").select("doc_id", F.lower("lang").alias("lang"), "text")
+    chosen = sampled(labelled, sample, "doc_id", "lang").select("lang", "text")
     counted = chosen.mapInArrow(_bucket_counts, "lang string, bucket bigint, n bigint")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     sizes: dict[str, int] = {}
