@@ -3,9 +3,13 @@
 A document is the set of its distinct five-word shingles. One hash per shingle serves all bins of the signature (the
 smallest hash of a bin's range), empty bins borrow from full ones by optimal densification, and neighbouring bins form
 bands. Documents with equal sets are one class and enter the buckets once. In each bucket only the edges from a few
-centres are candidates: first the smallest id, then, only where a bucket's members still lie in several components, the
-next 1, 2, 4, ... members, until every pair of the bucket was compared or lies in one component. So the number of pairs
-follows the bucket sizes, and no link between two members of a bucket is lost. Links are confirmed on full sets.
+centres are candidates. A document's weight is the number of members that its buckets hold, so in a group of edited copies
+the least edited one weighs most; the heaviest member of a bucket is its centre, and each document is first compared with
+the heaviest of its centres. Where a bucket's members still lie in several components, its two heaviest members are compared
+with all members of other components. Members that share too few shingles with other components to be linked with any are
+then settled. What remains goes on by members outside of the bucket's largest component as centres, until the members that
+were no centre lie in one component. So no link between two members of a bucket is lost, and the pairs do not grow with the
+square of a group. Links are confirmed on full sets.
 
 With 32 bands of 4 bins, two documents at the threshold of 0.75 share a bucket with probability 1 - 5e-6, more similar
 ones more surely.
@@ -35,6 +39,8 @@ ROWS = 4
 # A link: SHARE_OF * (size of the intersection) >= SHARE * (size of the union).
 SHARE, SHARE_OF = 75, 100
 PROBES = 256
+# Centres that a bucket may have in its second round; each further round allows as many times more.
+CENTRES = 8
 
 _WORDS = WordHash()
 
@@ -157,16 +163,20 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _similar_pairs(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _sets_of(buckets: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """id, set for all members of buckets, stored."""
+    ids = stored(buckets.select(F.col("id").alias("doc_id")).distinct(), "members")
+    found = texts.join(small_side(ids, ids.count(), 16), "doc_id", "left_semi").mapInArrow(_full_sets(width), "id bigint, set binary")
+    return stored(found, "sets")
+
+
+def _similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The stored pairs (a, b) that are links, confirmed on the full sets of both."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ends = small_side(ends, ends.count(), 16)
-    sets = stored(texts.join(ends, "doc_id", "left_semi").mapInArrow(_full_sets(width), "id bigint, set binary"), "sets")
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    both = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    links = stored(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a bigint, b bigint").distinct(), "links")
-    discard(sets)
-    return links
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    needed = sets.join(small_side(ends, 2 * pairs.count(), 16), "id", "left_semi")
+    with_a = pairs.join(needed.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
+    both = with_a.join(needed.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+    return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked, "a bigint, b bigint").distinct(), "links")
 
 
 def _roots_of(ids: DataFrame, roots: DataFrame, name: str, root: str) -> DataFrame:
@@ -175,10 +185,43 @@ def _roots_of(ids: DataFrame, roots: DataFrame, name: str, root: str) -> DataFra
     return ids.join(found, name, "left").withColumn(root, F.coalesce(root, name))
 
 
-def _several_roots(members: DataFrame) -> DataFrame:
-    """The keys whose members lie in more than one component."""
-    spans = members.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    return spans.filter("least < most").select("key")
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, id, weight, root, share of the buckets whose members lie in several components; share counts those of a root."""
+    rooted = _roots_of(members.select("key", "id", "weight"), roots, "id", "root")
+    shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("share"))
+    spans = shares.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    several = shares.join(spans.filter("least < most").select("key"), "key", "left_semi")
+    return rooted.join(several, ["key", "root"])
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, root, shingle of every member of a set."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sizes = np.array([len(x) // 8 for x in part.column(2).to_pylist()], np.int64)
+            shingles = np.frombuffer(b"".join(part.column(2).to_pylist()), np.int64)
+            columns = [pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)] + [pa.array(shingles)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "root", "shingle"])
+
+
+def _settled(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """id of the members that cannot be linked with any active member of another component.
+
+    A link needs SHARE of SHARE_OF of a document's shingles in the other document, so in some document of another component.
+    """
+    ids = stored(active.select("id", "root").distinct(), "rooted")
+    rooted = ids.join(sets, "id").select("id", "root", "set")
+    shingles = rooted.mapInArrow(_exploded, "id bigint, root bigint, shingle bigint")
+    spread = shingles.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    # The members of the largest components need not be settled: the others settle their buckets.
+    largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
+    outside = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"]).select("id").distinct()
+    minor = stored(rooted.join(outside, "id", "left_semi"), "minor").mapInArrow(_exploded, "id bigint, root bigint, shingle bigint")
+    elsewhere = minor.join(spread.select("shingle"), "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    size = (F.length("set") / 8).cast("bigint")
+    counted = outside.join(sets, "id").select("id", size.alias("size")).join(elsewhere, "id", "left")
+    return counted.filter(SHARE_OF * F.coalesce("n", F.lit(0)) < SHARE * F.col("size")).select("id").distinct()
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -193,8 +236,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
     rep_rows = members.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
     rep_rows = rep_rows.dropDuplicates(["digest", "doc_id"])
     banded = rep_rows.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    centres = banded.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last")
-    buckets = stored(banded.join(centres.drop("last"), "key"), "buckets")
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"), F.max("id").alias("most"))
+    sized = stored(banded.join(sizes.filter("least < most").select("key", "size"), "key"), "sized")
+    weights = sized.groupBy("id").agg(F.sum("size").alias("weight"))
+    buckets = stored(sized.join(weights, "id").select("key", "id", "weight"), "buckets")
+    discard(sized)
 
     # Several texts under one doc_id are one document.
     same = members.join(classes, "digest").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
@@ -203,37 +249,54 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
         "links",
     )
 
-    # First the smallest centre of each document over all of its buckets, then what those links leave open.
-    stars = buckets.filter("centre < id").groupBy("id").agg(F.min("centre").alias("centre"))
-    pairs = stored(stars.select(F.col("centre").alias("a"), F.col("id").alias("b")), "pairs")
-    links = stored(links.unionByName(_similar_pairs(pairs, texts, width)), "links")
-    roots = stored(components(links), "roots")
-    asked = pairs
-    open_keys = _several_roots(_roots_of(buckets, roots, "id", "root"))
-    rank = (F.row_number().over(Window.partitionBy("key").orderBy("id")) - 1).alias("rank")
-    ranked = stored(buckets.join(open_keys, "key", "left_semi").select("key", "id", rank), "ranked")
-    # Members of rank below ``first`` were centres; those up to, not including, ``end`` are the next ones.
-    first, end = 0, 1
+    sets = _sets_of(buckets, texts, width)
+
+    def linked(links: DataFrame, roots: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and roots with what the pairs add."""
+        if pairs.isEmpty() or (found := _similar_pairs(pairs, sets)).isEmpty():
+            return links, roots
+        links = stored(links.unionByName(found), "links")
+        return links, stored(components(links), "roots")
+
+    # The heaviest centre of each document over all of its buckets; of equal weights the smaller id.
+    rank = F.struct("weight", (-F.col("id")).alias("order"))
+    centres = buckets.groupBy("key").agg(F.max(rank).alias("centre"))
+    stars = buckets.join(centres, "key").groupBy("id").agg(F.max("centre").alias("centre"))
+    centre = -F.col("centre")["order"]
+    pairs = stars.filter(centre != F.col("id")).select(F.least(centre, "id").alias("a"), F.greatest(centre, "id").alias("b"))
+    asked = stored(pairs.distinct(), "pairs")
+    links, roots = linked(links, stored(components(links), "roots"), asked)
+
+    # The two heaviest members of the buckets that are still open, then other members, with those of other components.
+    members, allowed = buckets, 0
     while True:
-        rooted = _roots_of(ranked.filter(F.col("rank") >= first), roots, "id", "root")
-        active = stored(rooted.join(_several_roots(rooted), "key", "left_semi"), "active")
+        active = stored(_open_members(members, roots), "active")
+        if allowed and not active.isEmpty():
+            settled = stored(_settled(active, sets), "settled")
+            active = stored(_open_members(active.select("key", "id", "weight").join(settled, "id", "left_anti"), roots), "active")
         if active.isEmpty():
             break
-        centre = active.filter(F.col("rank") < end).select(
-            "key", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("rank").alias("rank_a")
-        )
-        crossed = active.join(centre, "key").filter("rank_a < rank and root_a <> root")
-        fresh = crossed.select("a", F.col("id").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
-        pairs = stored(fresh, "pairs")
-        discard(active)
-        if not pairs.isEmpty():
-            asked = stored(asked.unionByName(pairs), "asked")
-            found = _similar_pairs(pairs, texts, width)
-            if not found.isEmpty():
-                links = stored(links.unionByName(found), "links")
-                roots = stored(components(links), "roots")
-        first, end = end, 2 * end + 1
+        if allowed:
+            # Members outside of the largest component; those of the smallest components before others.
+            largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
+            able = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"])
+            order, number = [F.col("share"), F.col("id")], allowed
+        else:
+            able, order, number = active, [F.desc("weight"), F.col("id")], 2
+        place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
+        chosen = stored(able.withColumn("place", place).filter(F.col("place") <= number).select("key", "id", "root"), "centres")
+        centre = chosen.select("key", F.col("id").alias("centre"), F.col("root").alias("centre_root"))
+        crossed = active.join(centre, "key").filter(F.col("centre_root") != F.col("root"))
+        fresh = crossed.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+        pairs = stored(fresh.join(asked, ["a", "b"], "left_anti"), "pairs")
+        asked = stored(asked.unionByName(pairs), "asked")
+        links, roots = linked(links, roots, pairs)
+        # A member that was a centre has been compared with all others of its bucket.
+        members = active.select("key", "id", "weight").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        allowed = CENTRES * max(allowed, 1)
+    discard(sets)
     class_roots = _roots_of(classes, roots, "rep", "root").select("digest", "root")
     # A doc_id with an empty text beside others keeps the component of the others.
-    whole = signed.join(class_roots, "digest", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id")
+    whole = signed.join(class_roots, "digest", "left").select("doc_id", "n_shingles", component)
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
