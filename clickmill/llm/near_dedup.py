@@ -5,10 +5,10 @@ smallest hash of a bin's range), empty bins borrow from full ones by optimal den
 bands. Documents with equal sets are one class and enter the buckets once. In each bucket only the edges from a few
 centres are candidates. A document's weight is the number of members that its buckets hold, so in a group of edited copies
 the least edited one weighs most; the heaviest member of a bucket is its centre, and each document is first compared with
-the heaviest of its centres. Where a bucket's members still lie in several components, its two heaviest members are compared
-with all members of other components. Members that share too few shingles with other components to be linked with any are
-then settled. What remains goes on by members outside of the bucket's largest component as centres, until the members that
-were no centre lie in one component. So no link between two members of a bucket is lost, and the pairs do not grow with the
+the heaviest of its centres. Where a bucket's members still lie in several components, those that share too few shingles
+with other components to be linked with any are settled. Then the two heaviest of the others are compared with all members of
+other components, and in further rounds members outside of the bucket's largest component, until the members that were no
+centre lie in one component. So no link between two members of a bucket is lost, and the pairs do not grow with the
 square of a group. Links are confirmed on full sets.
 
 With 32 bands of 4 bins, two documents at the threshold of 0.75 share a bucket with probability 1 - 5e-6, more similar
@@ -271,7 +271,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
     members, allowed = buckets, 0
     while True:
         active = stored(_open_members(members, roots), "active")
-        if allowed and not active.isEmpty():
+        if not active.isEmpty():
             settled = stored(_settled(active, sets), "settled")
             active = stored(_open_members(active.select("key", "id", "weight").join(settled, "id", "left_anti"), roots), "active")
         if active.isEmpty():
@@ -292,7 +292,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
         asked = stored(asked.unionByName(pairs), "asked")
         links, roots = linked(links, roots, pairs)
         # A member that was a centre has been compared with all others of its bucket.
-        members = active.select("key", "id", "weight").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        rest = active.select("key", "id", "weight").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        members = stored(rest, "members")
         allowed = CENTRES * max(allowed, 1)
     discard(sets)
     class_roots = _roots_of(classes, roots, "rep", "root").select("digest", "root")
