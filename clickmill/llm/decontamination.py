@@ -5,16 +5,21 @@ of their kind, everything else is lowered. Windows of five template words of the
 joined by hash; a question asked again with other numbers or names has the same template. A match counts only if its
 slots are consistent: along one alignment, equal slot values of the item must stand for equal values in the document.
 
-A document leaks an item if half of the item's windows (five at least, or all of fewer) are found in it, or nine windows
-along one alignment, which is a passage of thirteen words.
+Windows of the benchmark with more than two placeholders say too little as templates. They are literal windows: hashed
+with their values, and found where a document has the same lowered words, whatever their kinds. An item of one to four
+words is one literal window of all its words, found wherever a document has these words in a row. Scripts without blanks
+between words are split by character.
+
+A document leaks an item if half of the item's windows (five at least, or all of fewer) are found in it, or so many of its
+template windows alone, or nine windows along one alignment, which is a passage of thirteen words.
 
 The documents' windows are first looked up in a bitmap of the benchmark's hashes. It has a fixed size, whatever the size
 of the benchmark; what passes is joined exactly. Pairs of document and item start from each item's rarest windows: enough
 of them that a leak cannot miss all (so a phrase that all items share makes no pairs).
 
-Defined results: a null or empty text, or one of fewer than five template words, has no windows and neither leaks nor is
-leaked; windows with more than two placeholders are not counted; repeated rows get equal results; a null doc_id is
-reported as not contaminated; an empty benchmark leaves all documents clean; further columns are ignored.
+Defined results: a text without words (null, empty, signs only) has no windows and neither leaks nor is leaked; repeated
+rows get equal results; a null doc_id is reported as not contaminated; an empty benchmark leaves all documents clean;
+coverage is the larger share, of all windows or of the template windows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,14 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmill.llm.common import stored, windows
 from clickmill.llm.tokens import portions, text_bytes
 
 WIDTH = 5
-LEAST_WORDS = 3  # literal words in a window that counts
+LEAST_WORDS = 3  # literal words in a template window
 LEAST_SHARE = 0.5
 LEAST_WINDOWS = 5
 ALIGNED_WINDOWS = 9
@@ -46,8 +51,14 @@ UNITS = frozenset(
     " hours day days week weeks month months year years percent dollar dollars cent cents euro euros degree degrees"
     " mph kmh kb mb gb tb hz khz mhz ghz w kw mw v kv j kj cal kcal c f k".split()
 )
+# Letters of scripts without blanks between words: Thai and Lao, Burmese, Khmer, kana, Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+)
+_LETTER = rf"[^\W\d_{_UNSPACED}]"
 # A number, or a word.
-_TOKEN = re.compile(r"(\d(?:[\d.,/:]*\d)?)|([^\W\d_]+(?:['’][^\W\d_]+)*)")
+_TOKEN = re.compile(rf"(\d(?:[\d.,/:]*\d)?)|({_LETTER}+(?:['’]{_LETTER}+)*|(?=[{_UNSPACED}])[^\W\d_])")
 _LITERAL, _NUMBER, _UNIT, _NAME = range(4)
 _CLOSING, _ENDS = b"\"')]", (b".", b"!", b"?")
 
@@ -66,7 +77,8 @@ class TemplateWords:
 
     def learn(self, parts: set[bytes]) -> None:
         """Take in new parts, all at once."""
-        if len(self.parts) > CACHE_WORDS:
+        # A part may hold many template words where a script has no blanks.
+        if max(len(self.parts), len(self.value) // 2) > CACHE_WORDS:
             self.clear()
         values, flags, at = [], [], len(self.value)
         for part in parts.difference(self.parts):
@@ -85,53 +97,83 @@ class TemplateWords:
             self.value = np.append(self.value, np.array(values, np.uint64))
             self.flags = np.append(self.flags, np.array(flags, bool), axis=0)
 
-    def template(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per template word of learnt parts its code, its kind and its value."""
-        at = np.frombuffer(b"".join(map(self.parts.__getitem__, words)), np.int32)
+    def template(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per template word of learnt parts, text after text, its code, its kind and its value; and where texts begin."""
+        numbers = [b"".join(map(self.parts.__getitem__, words)) for words in texts]
+        begins = np.cumsum([0, *(len(n) // 4 for n in numbers)])
+        at = np.frombuffer(b"".join(numbers), np.int32)
         value, flags = self.value[at], self.flags[at]
         inside, after_number = np.zeros(len(at), bool), np.zeros(len(at), bool)
         inside[1:], after_number[1:] = ~flags[:-1, 3], flags[:-1, 0]
+        first = begins[begins < len(at)]
+        inside[first] = after_number[first] = False
         kind = np.where(flags[:, 2] & inside, _NAME, _LITERAL)
         kind = np.where(flags[:, 0], _NUMBER, np.where(flags[:, 1] & after_number, _UNIT, kind))
-        return np.where(kind == _LITERAL, value, kind.astype(np.uint64)), kind, value
+        return np.where(kind == _LITERAL, value, kind.astype(np.uint64)), kind, value, begins
 
 
 _WORDS = TemplateWords()
 
 
-def _template_windows(bitmap: bytes | None):
-    """id, place, hash, slots of the windows that count; with a bitmap only of those found in it."""
+def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
+    """id, place, hash, literal, width, slots: of the benchmark, each window by its template or else literally.
+
+    With a bitmap, of documents: each window by its template and literally, and the runs of ``widths`` words, each once a
+    text; only those found in the bitmap.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
+
+        def passes(hashes: np.ndarray) -> np.ndarray:
+            if known is None:
+                return np.ones(len(hashes), bool)
+            return known[(hashes % np.uint64(BITMAP_BITS)).astype(np.int64)].astype(bool)
+
         for batch in portions(batches):
-            ids, places, found, slots = [], [], [], []
             texts = [text.split() for text in text_bytes(batch.column(1))]
             _WORDS.learn(set().union(*texts))
-            for row_id, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                codes, kind, value = _WORDS.template(words)
-                hashes = windows(codes, WIDTH)
-                if known is not None and len(hashes):
-                    hits = np.flatnonzero(known[(hashes % np.uint64(BITMAP_BITS)).astype(np.int64)])
-                else:
-                    hits = np.arange(len(hashes))
-                for place in hits.tolist():
-                    filled = np.flatnonzero(kind[place : place + WIDTH])
-                    if len(filled) <= WIDTH - LEAST_WORDS:
-                        ids.append(row_id)
-                        places.append(place)
-                        found.append(hashes[place])
-                        slots.append(value[place + filled].view(np.int64))
-            hashes = np.array(found, np.uint64).view(np.int64)
-            columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(hashes, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "place", "hash", "slots"])
+            codes, kind, value, begins = _WORDS.template(texts)
+            sizes = np.diff(begins)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            filled = kind != _LITERAL
+            before = np.append(0, np.cumsum(filled))
+            n_filled = before[WIDTH:] - before[:-WIDTH]
+            whole = row[WIDTH - 1 :] == row[: len(n_filled)]
+            dense = n_filled > WIDTH - LEAST_WORDS
+            hashes, exact = windows(codes, WIDTH), windows(value, WIDTH)
+            places = np.flatnonzero(whole & ~dense & passes(hashes))
+            literal = np.flatnonzero(whole & (dense if known is None else n_filled > 0) & passes(exact))
+            found = [(places, hashes[places], WIDTH), (literal, exact[literal], WIDTH)]
+            for width in range(1, WIDTH) if known is None else widths:
+                runs = windows(value, width)
+                within = row[width - 1 :] == row[: len(runs)]
+                # A short item is one window; in a text its first place is enough.
+                hits = np.flatnonzero(within & ((sizes == width)[row[: len(runs)]] if known is None else passes(runs)))
+                hits = hits[np.sort(np.unique(np.stack([row[hits].astype(np.uint64), runs[hits]]), axis=1, return_index=True)[1])]
+                found.append((hits, runs[hits], width))
+            slot = filled[places[:, None] + np.arange(WIDTH)]
+            spots = (places[:, None] + np.arange(WIDTH))[slot]
+            ends = np.append(np.cumsum(np.append(0, slot.sum(axis=1))), np.full(sum(len(f[0]) for f in found[1:]), len(spots)))
+            offsets = pa.array(ends, pa.int32())
+            all_places = np.concatenate([f[0] for f in found])
+            columns = [
+                batch.column(0).take(pa.array(row[all_places])),
+                pa.array(all_places - begins[row[all_places]]),
+                pa.array(np.concatenate([f[1] for f in found]).view(np.int64)),
+                pa.array(np.arange(len(all_places)) >= len(places)),
+                pa.array(np.repeat([f[2] for f in found], [len(f[0]) for f in found]), pa.int32()),
+                pa.ListArray.from_arrays(offsets, pa.array(value[spots].view(np.int64))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "place", "hash", "literal", "width", "slots"])
 
     return cut
 
 
-def _windows_of(rows: DataFrame, key: str, bitmap: bytes | None = None) -> DataFrame:
+def _windows_of(rows: DataFrame, key: str, bitmap: bytes | None = None, widths: Iterable[int] = ()) -> DataFrame:
     texts = rows.select(F.col(key).cast("bigint"), F.col("text").cast("string")).filter(F.col(key).isNotNull())
-    return texts.mapInArrow(_template_windows(bitmap), "id bigint, place bigint, hash bigint, slots array<bigint>")
+    columns = "id bigint, place bigint, hash bigint, literal boolean, width int, slots array<bigint>"
+    return texts.mapInArrow(_template_windows(bitmap, widths), columns)
 
 
 def _bitmap_of(hashes: DataFrame) -> bytes:
@@ -147,42 +189,62 @@ def _bitmap_of(hashes: DataFrame) -> bytes:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, coverage, aligned, reparameterised: the items that each document leaks."""
-    item = stored(_windows_of(benchmark, "item_id").select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots")).distinct(), "item-windows")
-    total = F.count(F.lit(1)).over(Window.partitionBy("item_id"))
-    share = F.greatest(F.ceil(total * LEAST_SHARE), F.least(total, F.lit(LEAST_WINDOWS)))
-    counted = item.withColumn("total", total).withColumn("needed", share)
-    hits = stored(_windows_of(docs, "doc_id", _bitmap_of(item)).withColumnRenamed("id", "doc_id").distinct(), "hits")
+    cut = _windows_of(benchmark, "item_id").select(
+        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", "literal", "width", F.col("slots").alias("item_slots")
+    )
+    item = stored(cut.distinct(), "item-windows")
+    by_item = Window.partitionBy("item_id")
+    template = F.when(~F.col("literal"), 1)
+    counted = item.withColumn("total", F.count(F.lit(1)).over(by_item)).withColumn("total_template", F.count(template).over(by_item))
+
+    def needed(total: Column) -> Column:
+        return F.greatest(F.ceil(total * LEAST_SHARE), F.least(total, F.lit(LEAST_WINDOWS)))
 
-    # Of ``total`` windows a leak has ``least``; among the total - least + 1 rarest ones it has at least one.
+    widths = [row["width"] for row in item.filter(F.col("width") < WIDTH).select("width").distinct().collect()]
+    hits = stored(
+        _windows_of(docs, "doc_id", _bitmap_of(item), widths).select(F.col("id").alias("doc_id"), "place", "hash", "slots").distinct(), "hits"
+    )
+
+    # Of ``total`` windows a leak has ``least``; among the total - least + 1 rarest ones it has at least one. So with the
+    # template windows alone.
     shared = counted.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("hash")))
-    rarity = F.row_number().over(Window.partitionBy("item_id").orderBy("shared", "hash", "item_place"))
-    rare = shared.withColumn("rarity", rarity).filter(F.col("rarity") <= F.col("total") - F.least("needed", F.lit(ALIGNED_WINDOWS)) + 1)
+    rarest = ["shared", "hash", "item_place"]
+    rarity = F.row_number().over(by_item.orderBy(*rarest))
+    rarity_template = F.row_number().over(by_item.orderBy("literal", *rarest))
+
+    def rare_enough(rank: str, total: str) -> Column:
+        return F.col(rank) <= F.col(total) - F.least(needed(F.col(total)), F.lit(ALIGNED_WINDOWS)) + 1
+
+    ranked = shared.withColumn("rarity", rarity).withColumn("rarity_template", rarity_template)
+    rare = ranked.filter(rare_enough("rarity", "total") | (~F.col("literal") & rare_enough("rarity_template", "total_template")))
     pairs = hits.select("doc_id", "hash").join(rare.select("item_id", "hash"), "hash").select("doc_id", "item_id").distinct()
 
     found = pairs.join(counted, "item_id").join(hits, ["doc_id", "hash"])
     placed = found.withColumn("shift", F.col("place") - F.col("item_place"))
     slot_pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     by_shift = placed.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_place").alias("places"),
+        F.collect_set(F.struct("item_place", "literal")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set(slot_pairs))).alias("pairs"),
         F.first("total").alias("total"),
-        F.first("needed").alias("needed"),
+        F.first("total_template").alias("total_template"),
     )
     item_values = F.array_distinct(F.transform("pairs", lambda pair: pair["item"]))
     consistent = by_shift.filter(F.size("pairs") == F.size(item_values))
     changed = F.exists("pairs", lambda pair: pair["item"] != pair["doc"])
     # An item's place counts once, however often the document repeats it.
-    places = consistent.select(
-        "doc_id", "item_id", "total", "needed", changed.alias("changed"), F.size("places").alias("n"), F.explode("places").alias("place")
-    )
-    by_place = places.groupBy("doc_id", "item_id", "total", "needed", "place").agg(
-        F.max("n").alias("n"), F.min("changed").alias("changed")
-    )
-    pairs = by_place.groupBy("doc_id", "item_id", "total", "needed").agg(
-        F.count(F.lit(1)).alias("covered"), F.max("n").alias("aligned"), F.max("changed").alias("reparameterised")
-    )
-    leaked = pairs.filter((F.col("covered") >= F.col("needed")) | (F.col("aligned") >= ALIGNED_WINDOWS))
-    return leaked.select("doc_id", "item_id", (F.col("covered") / F.col("total")).alias("coverage"), "aligned", "reparameterised")
+    of_pair = ["doc_id", "item_id", "total", "total_template"]
+    places = consistent.select(*of_pair, changed.alias("changed"), F.size("places").alias("n"), F.explode("places").alias("place"))
+    by_place = places.groupBy(*of_pair, "place").agg(F.max("n").alias("n"), F.min("changed").alias("changed"))
+    pairs = by_place.groupBy(*of_pair).agg(
+        F.count(F.lit(1)).alias("covered"), F.count(F.when(~F.col("place.literal"), 1)).alias("covered_template"),
+        F.max("n").alias("aligned"), F.max("changed").alias("reparameterised"),
+    )
+    enough = F.col("covered") >= needed(F.col("total"))
+    enough_template = (F.col("total_template") > 0) & (F.col("covered_template") >= needed(F.col("total_template")))
+    leaked = pairs.filter(enough | enough_template | (F.col("aligned") >= ALIGNED_WINDOWS))
+    share_template = F.when(F.col("total_template") > 0, F.col("covered_template") / F.col("total_template"))
+    coverage = F.greatest(F.col("covered") / F.col("total"), share_template)
+    return leaked.select("doc_id", "item_id", coverage.alias("coverage"), "aligned", "reparameterised")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

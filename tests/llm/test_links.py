@@ -52,6 +52,29 @@ def test_decontamination_of_nothing(spark, documents):
     assert decontamination.decontaminate(extra, bench).first()["contaminated"]
 
 
+def test_items_without_template_windows_are_found_verbatim(spark, documents):
+    texts = [
+        "What is 12 + 7 * 3 - 5?", "Pride And Prejudice Was Written By Jane Austen", "Wann beginnt Kaiser Wilhelm Krieg Gegen Frankreich",
+        "中国的首都是哪一座城市请回答", "世界で最も高い山の名前は何ですか", "Who wrote Hamlet?", "Zanzibar",
+    ]
+    items = [(10 + i, text) for i, text in enumerate(texts)]
+    docs = [(i, text) for i, text in enumerate(texts)] + [(20 + i, f"{CLEAN} {text} {CLEAN}") for i, text in enumerate(texts)]
+    docs += [(40, "what is 12 + 7 * 3 - 6?"), (41, "Who wrote Othello, and who Hamlet?"), (42, CLEAN), (43, "中国的河流很长而且很美")]
+    docs += [(44, "pride and prejudice was written by jane austen")]
+    found = leaks_of(spark, documents, docs, items)
+    assert [found[d]["items"] for d in range(7)] == [[10 + i] for i in range(7)]
+    assert [found[20 + d]["items"] for d in range(7)] == [[10 + i] for i in range(7)]
+    assert not any(found[d]["contaminated"] for d in (40, 41, 42, 43)) and found[44]["items"] == [11]
+
+
+def test_dense_windows_do_not_hide_changed_numbers(spark, documents):
+    sums = " ".join(f"{n} {n + 1} {n + 2} {n + 3}" for n in range(100, 180, 4))
+    item = f"{sums} the farmer of the village sold 15 of his oldest and biggest sheep"
+    copy = f"{sums.replace('1', '2')} the farmer of the village sold 93 of his oldest and biggest sheep"
+    found = leaks_of(spark, documents, [(1, copy), (2, sums)], [(10, item)])
+    assert found[1]["items"] == [10] and found[1]["reparameterised"] and found[2]["items"] == [10]
+
+
 def test_benchmark_passages_of_the_table(spark, sf_dir):
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     items = [r["text"] for r in bench.collect()]
