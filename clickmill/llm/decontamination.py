@@ -2,8 +2,10 @@
 
 Words become template words: numbers, units and names (capitalised words inside a sentence) are replaced by a placeholder
 of their kind, everything else is lowered. Windows of five template words of the benchmark and of the documents are
-joined by hash; a question asked again with other numbers or names has the same template. A match counts only if its
-slots are consistent: along one alignment, equal slot values of the item must stand for equal values in the document.
+joined by hash; a question asked again with other numbers or names has the same template. A match with changed slots counts
+only if they are consistent: along one alignment, equal slot values of the item must stand for equal values in the document.
+Where each value stands for one value at more than half of its places, only the windows that contradict it are dropped;
+where one has no such majority, all windows with changed slots are. Windows with no slot or unchanged slots always count.
 
 Windows of the benchmark with more than two placeholders say too little as templates. They are literal windows: hashed
 with their values, and found where a document has the same lowered words, whatever their kinds. An item of one to four
@@ -116,7 +118,7 @@ _WORDS = TemplateWords()
 
 
 def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
-    """id, place, hash, literal, width, slots: of the benchmark, each window by its template or else literally.
+    """id, place, hash, literal, width, at, slots: of the benchmark, each window by its template or else literally.
 
     With a bitmap, of documents: each window by its template and literally, and the runs of ``widths`` words, each once a
     text; only those found in the bitmap.
@@ -163,16 +165,17 @@ def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
                 pa.array(np.concatenate([f[1] for f in found]).view(np.int64)),
                 pa.array(np.arange(len(all_places)) >= len(places)),
                 pa.array(np.repeat([f[2] for f in found], [len(f[0]) for f in found]), pa.int32()),
+                pa.ListArray.from_arrays(offsets, pa.array(spots - begins[row[spots]])),
                 pa.ListArray.from_arrays(offsets, pa.array(value[spots].view(np.int64))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "place", "hash", "literal", "width", "slots"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "place", "hash", "literal", "width", "at", "slots"])
 
     return cut
 
 
 def _windows_of(rows: DataFrame, key: str, bitmap: bytes | None = None, widths: Iterable[int] = ()) -> DataFrame:
     texts = rows.select(F.col(key).cast("bigint"), F.col("text").cast("string")).filter(F.col(key).isNotNull())
-    columns = "id bigint, place bigint, hash bigint, literal boolean, width int, slots array<bigint>"
+    columns = "id bigint, place bigint, hash bigint, literal boolean, width int, at array<bigint>, slots array<bigint>"
     return texts.mapInArrow(_template_windows(bitmap, widths), columns)
 
 
@@ -190,7 +193,7 @@ def _bitmap_of(hashes: DataFrame) -> bytes:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, coverage, aligned, reparameterised: the items that each document leaks."""
     cut = _windows_of(benchmark, "item_id").select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", "literal", "width", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", "literal", "width", "at", F.col("slots").alias("item_slots")
     )
     item = stored(cut.distinct(), "item-windows")
     by_item = Window.partitionBy("item_id")
@@ -221,19 +224,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     found = pairs.join(counted, "item_id").join(hits, ["doc_id", "hash"])
     placed = found.withColumn("shift", F.col("place") - F.col("item_place"))
-    slot_pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
+    slot_pairs = F.arrays_zip(F.col("at"), F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     by_shift = placed.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set(F.struct("item_place", "literal")).alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(slot_pairs))).alias("pairs"),
+        F.collect_set(F.struct("item_place", "literal", slot_pairs.alias("pairs"))).alias("windows"),
         F.first("total").alias("total"),
         F.first("total_template").alias("total_template"),
     )
-    item_values = F.array_distinct(F.transform("pairs", lambda pair: pair["item"]))
-    consistent = by_shift.filter(F.size("pairs") == F.size(item_values))
-    changed = F.exists("pairs", lambda pair: pair["item"] != pair["doc"])
+
+    def values(pair: Column) -> Column:
+        return F.struct(pair["item"].alias("item"), pair["doc"].alias("doc"))
+
+    spots = F.array_distinct(F.flatten(F.transform("windows", lambda window: window["pairs"])))
+    paired = by_shift.withColumn("spots", spots).withColumn("pairs", F.array_distinct(F.transform("spots", values)))
+    n_values = F.size(F.array_distinct(F.transform("pairs", lambda pair: pair["item"])))
+
+    def unchanged(window: Column) -> Column:
+        return F.forall(window["pairs"], lambda spot: spot["item"] == spot["doc"])
+
+    def in_majority(pair: Column) -> Column:
+        places = F.filter("spots", lambda spot: spot["item"] == pair["item"])
+        return 2 * F.size(F.filter(places, lambda spot: spot["doc"] == pair["doc"])) > F.size(places)
+
+    def follows(window: Column) -> Column:
+        return unchanged(window) | (F.col("decided") & F.forall(window["pairs"], lambda spot: F.array_contains("binding", values(spot))))
+
+    # Only a torn alignment, where one value of the item stands for several, is looked at spot by spot.
+    torn = F.size("pairs") != n_values
+    bound = paired.withColumn("torn", torn).withColumn("binding", F.when(F.col("torn"), F.filter("pairs", in_majority)))
+    decided = bound.withColumn("decided", F.size("binding") == n_values)
+    kept = decided.withColumn("windows", F.when(F.col("torn"), F.filter("windows", follows)).otherwise(F.col("windows")))
+    changed = F.exists("windows", lambda window: ~unchanged(window))
+    places = F.array_distinct(F.transform("windows", lambda window: F.struct(window["item_place"].alias("item_place"), window["literal"].alias("literal"))))
+    consistent = kept.withColumn("changed", changed).withColumn("places", places)
     # An item's place counts once, however often the document repeats it.
     of_pair = ["doc_id", "item_id", "total", "total_template"]
-    places = consistent.select(*of_pair, changed.alias("changed"), F.size("places").alias("n"), F.explode("places").alias("place"))
+    places = consistent.select(*of_pair, "changed", F.size("places").alias("n"), F.explode("places").alias("place"))
     by_place = places.groupBy(*of_pair, "place").agg(F.max("n").alias("n"), F.min("changed").alias("changed"))
     pairs = by_place.groupBy(*of_pair).agg(
         F.count(F.lit(1)).alias("covered"), F.count(F.when(~F.col("place.literal"), 1)).alias("covered_template"),

@@ -35,6 +35,23 @@ def test_inconsistent_slots_are_no_leak(spark, documents):
     assert found[1]["contaminated"] and not found[2]["contaminated"]
 
 
+LONG = (
+    "In the spring a farmer had 15 sheep on the hill behind the old mill and sold some of them to a trader who came over the"
+    " river every year with a wide boat full of wool and salt and then the farmer counted what was left and found that again"
+    " 15 were there because the neighbour had brought back those that were lost in the long winter before"
+)
+
+
+def test_one_edited_slot_does_not_hide_the_item(spark, documents):
+    edited = LONG.replace("again 15", "again 16")
+    several = "A man with 15 cows lost 3 in the woods, but 15 were still on the list, and all 15 had names. So he looked for 15 in the dark of the night."
+    changed = several.replace("15", "22").replace("3", "4").replace("all 22", "all 23")
+    found = leaks_of(spark, documents, [(1, edited), (2, changed), (3, MIXED)], [(10, LONG), (11, several), (12, QUESTION)])
+    assert found[1]["items"] == [10] and not found[1]["reparameterised"] and 0.8 < found[1]["coverage"] < 1
+    assert found[2]["items"] == [11] and found[2]["reparameterised"] and found[2]["coverage"] < 1
+    assert not found[3]["contaminated"]
+
+
 def test_part_of_a_long_item_and_shared_phrases(spark, documents):
     words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
     long = " ".join(words)
