@@ -6,13 +6,16 @@ metadata declares, and with a prior for the address: the posteriors by text alon
 address suffix, and each level is smoothed towards the next wider one, the widest being all rows. Every row is left out of
 the sums that make its own prior.
 
-The trigram models are fitted on at most SAMPLE_DOCS labelled rows; all rows take part in the sums.
+The labels are counted over all rows, and each language's trigram model is fitted on at most SAMPLE_DOCS of its labelled
+rows (equal rows count once); all rows take part in the sums. Only the MOST_LANGUAGES languages with the most rows have a
+model. Where there are more, a row that declares one without a model is declared only: it is taken to be of that language
+(posterior DECLARED_RIGHT), kept if it is readable, and takes no part in the sums.
 
 A row is rejected if its text holds no trigram of letters, if the text is less likely under the best language than chance
 (all trigrams equally likely), or if no language reaches LEAST_POSTERIOR.
 
-Defined results: null and empty texts are rejected, with language null and posterior 0; an unknown or null declared
-language says nothing; a null address has only the widest prior; repeated rows get equal results; without labelled rows
+Defined results: null and empty texts are rejected, with language null and posterior 0; a null declared language, or one
+that no label names, says nothing; a null address has only the widest prior; repeated rows get equal results; without labelled rows
 all rows are rejected; an empty table gives no rows; further columns are ignored.
 """
 
@@ -23,22 +26,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import mixed, sampled, stored
+from clickmill.llm.common import mixed, stored
 from clickmill.llm.tokens import portions
 
-SAMPLE_DOCS = 2_000
+SAMPLE_DOCS = 2_000  # for each language
 BUCKET_BITS = 15
 SMOOTHING = 0.5
-MOST_LANGUAGES = 64
+# Languages with a model, which takes 256 KB; there are about 180 with a code of two letters.
+MOST_LANGUAGES = 256
 TEXT_OBSERVATIONS = 60
 # Chance that a declared language is right, and rows of its parent that the prior of an address level is worth.
 DECLARED_RIGHT = 0.85
 LEVEL_STRENGTH = 20.0
 LEAST_POSTERIOR = 0.6
 
+# Three letters, as ``trigram_buckets`` takes them: a text that has trigrams for certain.
+_LETTER = r"A-Za-z\x{C0}-\x{1FFF}\x{3040}-\x{10FFFF}"
+_READABLE = rf"[{_LETTER}](?:[^{_LETTER}]*[{_LETTER}]){{2}}"
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#\w]+;")
 
 
@@ -73,20 +80,35 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
 
+def _labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
+    """lang, text: for each of the MOST_LANGUAGES most frequent labels at most ``sample`` rows, those with the smallest hash.
+
+    As in ``sampled``, thresholds on the hash leave few rows to sort; each language keeps its smallest one.
+    """
+    labelled = docs.filter("lang is not null and text is not null").select(F.lower("lang").alias("lang"), "doc_id", "text")
+    readable = labelled.filter(F.col("text").rlike(_READABLE)).select("lang", "text", F.xxhash64("doc_id", "lang", "text").alias("number"))
+    counts = readable.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("number").alias("n_distinct"), F.min("number").alias("least")
+    )
+    most = counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    share = F.least(F.lit(1.0), 1.5 * (sample + 100) / F.col("n_distinct"))
+    limits = most.select("lang", "least", ((2 * share - 1) * 2.0**63).alias("limit"))
+    near = readable.join(F.broadcast(limits), "lang").filter((F.col("number").cast("double") <= F.col("limit")) | (F.col("number") == F.col("least")))
+    once = near.groupBy("lang", "number").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("number"))
+    return once.withColumn("place", place).filter(F.col("place") <= sample).select("lang", "text")
+
+
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
-    """The languages, and log-probabilities by language and bucket, from at most ``sample`` rows of doc_id, text, lang."""
-    labelled = docs.filter("lang is not null and text is not null").select("doc_id", F.lower("lang").alias("lang"), "text")
-    chosen = sampled(labelled, sample, "doc_id", "lang").select("lang", "text")
-    counted = chosen.mapInArrow(_bucket_counts, "lang string, bucket bigint, n bigint")
-    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    sizes: dict[str, int] = {}
-    for row in rows:
-        sizes[row["lang"]] = sizes.get(row["lang"], 0) + row["n"]
-    langs = sorted(sorted(sizes, key=lambda lang: (-sizes[lang], lang))[:MOST_LANGUAGES])
+    """The languages, and log-probabilities by language and bucket, from at most ``sample`` rows a language of doc_id, text, lang."""
+    counted = _labelled_sample(docs, sample).mapInArrow(_bucket_counts, "lang string, bucket bigint, n bigint")
+    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = rows["lang"].combine_chunks().dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
+    order = np.array([langs.index(lang) for lang in names.dictionary.to_pylist()], np.int64)
     table = np.full((len(langs), 1 << BUCKET_BITS), SMOOTHING)
-    for row in rows:
-        if row["lang"] in langs:
-            table[langs.index(row["lang"]), row["bucket"]] += row["n"]
+    if langs:
+        table[order[names.indices.to_numpy()], rows["bucket"].to_numpy()] += rows["n"].to_numpy()
     return langs, np.log(table / table.sum(axis=1, keepdims=True))
 
 
@@ -152,12 +174,15 @@ def identify(rows: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
             F.lit(0).cast("bigint").alias("n_grams"), F.lit(False).alias("kept"),
         )
     weighed = texts.mapInArrow(_evidence(model), columns)
+    known = F.col("declared").isin(langs)
+    # Where all labelled languages have a model, one without it is unknown.
+    declared_only = F.coalesce(F.lit(len(langs) >= MOST_LANGUAGES) & ~known, F.lit(False))
     observed = F.least("n_grams", F.lit(TEXT_OBSERVATIONS)).cast("double")
     scaled = F.transform("logs", lambda x: x * observed)
     levels = address_levels(F.coalesce("host", F.lit("")))
     alone = stored(weighed.select("key", *levels, "declared", "n_grams", "logs", scaled.alias("scaled"), _softmax(scaled).alias("alone")), "evidence")
 
-    counted = alone.filter("n_grams > 0")
+    counted = alone.filter((F.col("n_grams") > 0) & ~declared_only)
     n = len(langs)
     by_host = stored(_summed(counted, ["host", "domain", "suffix"], n, "host_sums"), "hosts")
 
@@ -179,7 +204,6 @@ def identify(rows: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     for name in ("all_sums", "suffix_sums", "domain_sums", "host_sums"):
         joined = joined.withColumn(f"{name}_prior", _smoothed(name, prior, own))
         prior = F.col(f"{name}_prior")
-    known = F.col("declared").isin(langs)
     right = [F.when(F.col("declared") == lang, DECLARED_RIGHT).otherwise((1 - DECLARED_RIGHT) / max(1, n - 1)) for lang in langs]
     declared = F.when(known, F.array(*right)).otherwise(F.array_repeat(F.lit(1.0), n))
     fused = joined.withColumn("fused", _softmax(F.col("scaled"), F.zip_with(prior, declared, lambda p, d: p * d)))
@@ -189,10 +213,11 @@ def identify(rows: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     def best(chances: str) -> Column:
         return F.element_at(names, F.array_position(chances, F.array_max(chances)).cast("int"))
 
-    posterior = F.when(readable, F.array_max("fused")).otherwise(0.0)
-    kept = readable & (F.array_max("logs") > 0) & (posterior >= LEAST_POSTERIOR)
+    posterior = F.when(readable & declared_only, DECLARED_RIGHT).when(readable, F.array_max("fused")).otherwise(0.0)
+    kept = readable & (declared_only | (F.array_max("logs") > 0) & (posterior >= LEAST_POSTERIOR))
+    lang = F.when(declared_only, F.col("declared")).otherwise(best("fused"))
     return fused.select(
-        "key", "declared", F.when(readable, best("fused")).alias("lang"), posterior.alias("posterior"),
+        "key", "declared", F.when(readable, lang).alias("lang"), posterior.alias("posterior"),
         F.when(readable, best("alone")).alias("text_lang"), "n_grams", kept.alias("kept"),
     )
 

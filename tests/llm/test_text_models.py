@@ -219,3 +219,33 @@ def test_language_without_labels_or_rows(documents):
     assert [(r["lang"], r["kept"]) for r in found] == [(None, False)]
     langs, model = language.train(documents((1, "the text of it")))
     assert language.identify(language.document_rows(documents()), langs, model).count() == 0
+
+
+def letters_of(lang, draw, words=12):
+    """A text of made-up words from six letters of Han or kana, other ones for each language."""
+    first = 0x4E00 + 40 * lang
+    return " ".join("".join(chr(first + draw.randrange(6)) for _ in range(4)) for _ in range(words))
+
+
+def test_rare_and_many_languages_have_a_model(documents):
+    draw = random.Random(5)
+    rows = [(i, f"the thing and the other one {i} are in the house", "en", "a.org", 0) for i in range(3000)]
+    rows += [(5000 + i, letters_of(i % 80, draw), f"l{i % 80:02d}", "b.org", 0) for i in range(160)]
+    rows += [(None, letters_of(90, random.Random(1)), "zz", "b.org", 0)] * 40
+    docs = documents(*rows)
+    langs, model = language.train(docs, 20)
+    assert langs == ["en", *(f"l{i:02d}" for i in range(80)), "zz"]
+    found = language.identify(language.document_rows(docs), langs, model).collect()
+    assert all(r["kept"] and r["lang"] == r["declared"] for r in found) and len(found) == len(rows)
+
+
+def test_languages_beyond_the_models_are_declared_only(documents, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    draw = random.Random(6)
+    rows = [(i, letters_of(i % 2, draw), f"l{i % 2}", "a.org", 0) for i in range(20)] + [(30, letters_of(7, draw), "RARE", "a.org", 0), (31, "...", "rare", "a.org", 0)]
+    docs = documents(*rows)
+    langs, model = language.train(docs)
+    assert langs == ["l0", "l1"]
+    found = {r["key"]: r for r in language.identify(language.document_rows(docs), langs, model).collect()}
+    assert found[30]["kept"] and found[30]["lang"] == "rare" and found[30]["posterior"] == language.DECLARED_RIGHT
+    assert not found[31]["kept"] and found[31]["lang"] is None and all(found[i]["lang"] == f"l{i % 2}" for i in range(20))
