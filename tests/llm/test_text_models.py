@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -123,6 +124,28 @@ def test_pii_model_on_new_forms(spark, sf_dir):
     assert np.mean(right) > 0.6 and np.mean(wrong) < 0.03
 
 
+def test_pii_recall_of_every_known_form(spark, sf_dir):
+    model = pii.train(table(spark, sf_dir, "documents"))
+    draw, right, wrong = random.Random(41), {}, []
+    for _ in range(120):
+        true, false = pii._known_forms(draw)
+        for at, (cue, form, cued) in enumerate(true):
+            text = f"some words before {cue if cued or draw.random() < 0.5 else ''}{form} and after"
+            right.setdefault(at, []).append(bool(pii.base_spans(text) or model.accepted(text, [])))
+        for cue, form, _ in false:
+            text = f"some words before {cue if draw.random() < 0.5 else ''}{form} and after"
+            wrong.append(bool(model.accepted(text, pii.base_spans(text))))
+    assert min(np.mean(found) for found in right.values()) >= pii.LEAST_RECALL and np.mean(wrong) < 0.01
+    for text in ("call 5551234567 now", "his passport number 123456789 is", "fax 0049 30 1234567 or", "we met, tel 06 12 34 56 78 today", "account 123456789012."):
+        assert model.accepted(text, []), text
+
+
+def test_pii_training_fails_without_recall(documents, monkeypatch):
+    monkeypatch.setattr(pii.boosting, "calibrated_threshold", lambda *_: float("inf"))
+    with pytest.raises(ValueError, match="recall 0.000"):
+        pii.train(documents())
+
+
 def test_redaction(documents, spark):
     rows = [(1, "mail a.b@c.org or +1 (555) 123-4567."), (2, None), (3, "clean text, 12 apples"), (4, "ip 10.0.0.1 and 4111-1111-1111-1111")]
     found = {r["doc_id"]: r["text"] for r in pii.redact(documents(*rows)).collect()}
