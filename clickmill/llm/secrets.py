@@ -2,8 +2,10 @@
 
 Two models of character pairs are trained from labelled samples: the values that the fixed patterns find in a bounded
 sample of the documents are random strings; the other long words of the same documents, and their words joined as programs
-join them, are identifiers. A string of key characters with letters and digits is a secret if its log-likelihood ratio per
-character is high enough.
+join them, are identifiers. In each run of key characters the stretches are sought whose log-likelihood ratio, less LEAST_MEAN
+a character and summed over the pairs, reaches LEAST_TOTAL: a longer one needs less per character, and readable words beside
+a key do not hide it. A stretch is widened to the separators around it (/ + _ = -). It is a secret if it is long enough and
+has letters, and digits or LEAST_DISTINCT different characters (lines of signs have neither).
 
 Defined results: a null text counts as empty and has no spans; repeated rows get equal results; a null doc_id stays null;
 an empty table gives no rows; further columns are ignored. Spans are in code points of the whole text.
@@ -34,15 +36,19 @@ _HEX = re.compile("(?<![0-9a-f])[0-9a-f]{16,}+")
 LEAST_VALUE, LEAST_ACCESS = 12, 18
 
 SAMPLE_DOCS = 4_000
-LEAST_CANDIDATE = 20
-LEAST_RATIO = 1.5  # nats per character
+LEAST_CANDIDATE = 16
+LEAST_RATIO = 1.5  # nats per character, of a whole string
+# Nats per character that any stretch must exceed, and by how much in total: no more than 20 characters of LEAST_RATIO have.
+LEAST_MEAN, LEAST_TOTAL = 1.0, 9.5
+LEAST_STRETCH = 12  # characters of a stretch in a string that is below LEAST_RATIO as a whole
+LEAST_DISTINCT = 8
 LEAST_WORD = 8
 CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Pseudo-counts: the random model starts close to even, the identifier model trusts what it has seen.
 EVEN_RANDOM, EVEN_WORDS = 20.0, 0.5
 
-_DIGIT_RUN = re.compile("[0-9]++")
-_CANDIDATE = re.compile("[A-Za-z0-9+/_=-]++")
+_CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{%d,}+" % LEAST_CANDIDATE)
+_SEPARATORS = "+/_=-"
 _WORD = re.compile("[A-Za-z0-9+/_=-]{%d,}+" % LEAST_WORD)
 
 
@@ -54,20 +60,6 @@ def base_spans(text: str) -> list[Span]:
     return found + [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
 
 
-def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Maximal runs of key characters that hold letters and digits and are long enough. Found from their digits."""
-    end = 0
-    for digits in _DIGIT_RUN.finditer(text):
-        start = digits.start()
-        if start < end:
-            continue
-        while start > end and text[start - 1] in _KEY_CHARACTERS:
-            start -= 1
-        end = _CANDIDATE.match(text, start).end()
-        if end - start >= LEAST_CANDIDATE and any(c.isalpha() for c in text[start:end]):
-            yield start, end
-
-
 _KEY_CHARACTERS = frozenset(CHARACTERS)
 _CODES = np.full(128, -1, np.int64)
 _CODES[[ord(c) for c in CHARACTERS]] = np.arange(len(CHARACTERS))
@@ -81,9 +73,9 @@ def _pairs(word: str) -> np.ndarray:
 
 
 def _joined_words(text: str) -> list[str]:
-    """The words of a text as identifiers are made of words: capitals inside, underscores, hyphens, some numbers."""
+    """The words of a text as identifiers are made of words: capitals inside, underscores, hyphens, all capitals, some numbers."""
     words = [f"{word}{at % 100}" if at % 3 == 2 else word for at, word in enumerate(re.findall("[A-Za-z]{2,}", text))]
-    return ["".join(word.capitalize() for word in words), "_".join(words), "-".join(words).lower()]
+    return ["".join(word.capitalize() for word in words), "_".join(words), "-".join(words).lower(), "_".join(words).upper()]
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,11 +117,57 @@ def ratio(word: str, model: np.ndarray) -> float:
     return float(model[_pairs(word)].mean()) if len(word) > 1 else 0.0
 
 
+def stretches(scores: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of characters whose pairs sum up to LEAST_TOTAL, from their lowest to their highest running sum.
+
+    One ends where the sum has lost as much again, or all of it.
+    """
+    total = np.append(0.0, np.cumsum(scores))
+    if len(scores) == 0 or (total - np.minimum.accumulate(total)).max() < LEAST_TOTAL:
+        return
+    total = total.tolist()
+    low = high = at = 0
+    while at < len(total):
+        if total[at] > total[high]:
+            high = at
+        gain = total[high] - total[low]
+        if at == len(total) - 1 or total[at] <= total[low] or total[high] - total[at] >= LEAST_TOTAL:
+            if gain >= LEAST_TOTAL:
+                yield low, high + 1
+                at = high
+            low = high = at
+        at += 1
+
+
+def _key_like(key: str) -> bool:
+    various = any(c.isdigit() for c in key) or len(set(key)) >= LEAST_DISTINCT
+    return len(key) >= LEAST_CANDIDATE and various and any(c.isalpha() for c in key)
+
+
+def random_spans(text: str, model: np.ndarray) -> Iterator[Span]:
+    """The secrets in each run of key characters: widened stretches, or the whole run if it is random only as a whole."""
+    for run in _CANDIDATE.finditer(text):
+        word, end, found = run[0], 0, False
+        scores = model[_pairs(word)]
+        for start, stop in stretches(scores - LEAST_MEAN):
+            length = stop - start
+            while start > end and word[start - 1] not in _SEPARATORS:
+                start -= 1
+            while stop < len(word) and word[stop] not in _SEPARATORS:
+                stop += 1
+            start, end = max(start, end), max(stop, end)
+            key = word[start:end]
+            if _key_like(key) and (length >= LEAST_STRETCH or ratio(key, model) >= LEAST_RATIO):
+                found = True
+                yield "random", run.start() + start, run.start() + end
+        if not found and scores.mean() >= LEAST_RATIO and _key_like(word):
+            yield "random", run.start(), run.end()
+
+
 def found_spans(text: str, model: np.ndarray) -> tuple[list[Span], list[Span]]:
     """Base spans, and the spans that the models add beside them."""
     base = base_spans(text)
-    added = [("random", a, b) for a, b in candidates(text) if ratio(text[a:b], model) >= LEAST_RATIO]
-    return base, free_of(added, base)
+    return base, free_of(random_spans(text, model), base)
 
 
 def _scanned(model: np.ndarray):

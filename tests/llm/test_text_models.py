@@ -104,6 +104,23 @@ def test_markov_models_tell_keys_from_identifiers(spark, sf_dir):
     assert secrets.found_spans(text, model)[1] == [("random", 11, 44)]
 
 
+def test_keys_that_are_short_or_glued_to_words(spark, sf_dir):
+    model = secrets.train(table(spark, sf_dir, "documents"))
+    draw, letters = random.Random(12), secrets.CHARACTERS[:62]
+    short, plain, glued = [], [], []
+    for _ in range(100):
+        key = "".join(draw.choice(letters) for _ in range(16))
+        word = "".join(draw.choice(letters[:52]) for _ in range(20))
+        short.append(("random", 4, 20) in secrets.found_spans(f"see {key} ok", model)[1])
+        plain.append(("random", 4, 24) in secrets.found_spans(f"see {word} ok", model)[1])
+        url = f"/the/other-place-of-the-people/and/that/was/there/from_the_other={word}/with-the-people-and-their-other-house"
+        spans = secrets.found_spans(url, model)[1]
+        glued.append(any(a <= url.index(word) and url.index(word) + 20 <= b for _, a, b in spans) and not any(a == 0 or b == len(url) for _, a, b in spans))
+    assert min(np.mean(short), np.mean(plain), np.mean(glued)) > 0.9
+    for text in ("-" * 40, "=" * 40, "THE_OTHER_PEOPLE_AND_THE_HOUSE", "the-people-of-the-other-house", "anotherPlaceForTheOthers", ""):
+        assert secrets.found_spans(text, model)[1] == []
+
+
 def test_boosted_trees_learn_an_interaction():
     x = np.random.default_rng(0).normal(size=(800, 3))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
