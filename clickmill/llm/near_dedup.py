@@ -195,7 +195,7 @@ def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, root, shingle of every member of a set."""
+    """The first two columns, and every shingle of the set in the third."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
@@ -208,7 +208,8 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _settled(active: DataFrame, sets: DataFrame) -> DataFrame:
     """id of the members that cannot be linked with any active member of another component.
 
-    A link needs SHARE of SHARE_OF of a document's shingles in the other document, so in some document of another component.
+    A link needs SHARE of SHARE_OF of a text's shingles in the other document, so in some document of another component. An
+    id is settled if each of its texts falls short.
     """
     ids = stored(active.select("id", "root").distinct(), "rooted")
     rooted = ids.join(sets, "id").select("id", "root", "set")
@@ -217,11 +218,15 @@ def _settled(active: DataFrame, sets: DataFrame) -> DataFrame:
     # The members of the largest components need not be settled: the others settle their buckets.
     largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
     outside = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"]).select("id").distinct()
-    minor = stored(rooted.join(outside, "id", "left_semi"), "minor").mapInArrow(_exploded, "id bigint, root bigint, shingle bigint")
-    elsewhere = minor.join(spread.select("shingle"), "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    size = (F.length("set") / 8).cast("bigint")
-    counted = outside.join(sets, "id").select("id", size.alias("size")).join(elsewhere, "id", "left")
-    return counted.filter(SHARE_OF * F.coalesce("n", F.lit(0)) < SHARE * F.col("size")).select("id").distinct()
+    text = F.xxhash64("set").alias("text")
+    own = stored(rooted.join(outside, "id", "left_semi").filter(F.length("set") > 0).select("id", text, "set"), "minor")
+    minor = own.mapInArrow(_exploded, "id bigint, text bigint, shingle bigint")
+    elsewhere = minor.join(spread.select("shingle"), "shingle").groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
+    # Copies of a text count as often in its size as in n.
+    sizes = own.groupBy("id", "text").agg(F.sum((F.length("set") / 8).cast("bigint")).alias("size"))
+    counted = sizes.join(elsewhere, ["id", "text"], "left")
+    best = counted.groupBy("id").agg(F.max(SHARE_OF * F.coalesce("n", F.lit(0)) - SHARE * F.col("size")).alias("best"))
+    return best.filter("best < 0").select("id")
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE_WORDS) -> DataFrame:

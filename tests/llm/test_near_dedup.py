@@ -57,6 +57,15 @@ def test_one_document_with_several_texts_links_their_groups(documents):
     check(near_duplicates(documents(*rows)), rows)
 
 
+def test_a_long_text_does_not_settle_the_short_text_of_its_document(documents):
+    core, own = [f"c{i}" for i in range(700)], lambda name, n: [f"{name}x{i}" for i in range(n)]
+    # A heavy group of texts that are alike but not linked; 1 and 2 share buckets with it by their long texts.
+    rows = [(100 + g, " ".join(core + own(f"g{g}", 150))) for g in range(14)]
+    rows += [(d, " ".join(core[:500] + own(f"d{d}", 350))) for d in (1, 2)]
+    rows += [(1, " ".join([*own("s", 20), "one"])), (2, " ".join([*own("s", 20), "two"])), (2, " ".join([*own("s", 20), "two"]))]
+    check(near_duplicates(documents(*rows)), rows)
+
+
 def test_nothing_and_clashing_columns(spark, documents):
     assert near_duplicates(documents()).count() == 0
     df = spark.createDataFrame([(1, "a b", 1, 2, 3), (2, "a b", 1, 2, 3)], "doc_id bigint, text string, id bigint, key bigint, digest bigint")
