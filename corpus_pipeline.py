@@ -3,50 +3,62 @@
 Each stage takes (spark, docs, sf_dir), works on all documents that the stage before kept, and returns a DataFrame; it is
 written as Parquet and read again before the next stage. All stages but the last return the columns of their input.
 
-A stage's decisions are carried by doc_id: a document goes if all rows with its doc_id are refused. Rows without a doc_id
-cannot be told apart by it and stay.
+A stage's decisions are carried by a row key, the hash of doc_id and text: different texts under one doc_id, and rows without
+a doc_id, are decided each by itself.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm import decontamination, language, near_dedup, packing, pii
 from clickmill.llm.common import importable, small_side, stored, table
 
 
+def _row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with their row key as doc_id."""
+    return docs.withColumn("doc_id", _row_key())
+
+
 def _without(docs: DataFrame, refused: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among the refused ones."""
-    ids = stored(refused.select(F.col("doc_id").cast("bigint").alias("refused_id")).distinct(), "refused")
+    """The documents whose row key is not among the refused ones, which stand in doc_id."""
+    ids = stored(refused.select(F.col("doc_id").alias("refused_key")).distinct(), "refused")
     side = small_side(ids, ids.count(), 16)
-    return docs.join(side, docs["doc_id"] == side["refused_id"], "left_anti")
+    return docs.join(side, _row_key() == side["refused_key"], "left_anti")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
     importable(spark)
     langs, model = language.train(docs)
-    found = language.identify(language.document_rows(docs), langs, model)
-    by_id = found.groupBy(F.col("key").alias("doc_id")).agg(F.max("kept").alias("kept"))
-    return _without(docs, by_id.filter("not kept and doc_id is not null"))
+    found = language.identify(language.document_rows(_keyed(docs)), langs, model)
+    by_key = found.groupBy(F.col("key").alias("doc_id")).agg(F.max("kept").alias("kept"))
+    return _without(docs, by_key.filter("not kept"))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest doc_id; repeated rows go as well."""
+    """One row of each group of near copies, the one with the smallest doc_id (none counts last); repeated rows go as well."""
     importable(spark)
-    found = near_dedup.near_duplicates(docs)
-    rest = _without(docs, found.filter("not kept"))
-    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return rest
-    return rest.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.filter("doc_id is null"))
+    found = stored(near_dedup.near_duplicates(_keyed(docs)).select("doc_id", "component_id").distinct(), "found")
+    ids = docs.select(_row_key().alias("doc_id"), F.col("doc_id").cast("bigint").alias("id")).distinct()
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "doc_id")
+    several = found.filter(F.col("doc_id") != F.col("component_id")).select("component_id").distinct()
+    groups = stored(found.join(several, "component_id", "left_semi").join(ids, "doc_id"), "groups")
+    first = groups.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first")["doc_id"].alias("doc_id"))
+    rest = _without(docs, groups.select("doc_id").join(first, "doc_id", "left_anti"))
+    return rest.withColumn("row_key", _row_key()).dropDuplicates(["row_key"]).drop("row_key")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark, also not with other numbers or names."""
-    leaks = decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+    importable(spark)
+    leaks = decontamination.leaks(_keyed(docs), table(spark, sf_dir, "benchmark"))
     return _without(docs, leaks)
 
 
@@ -72,7 +84,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# The stages hold trained models and a tokenizer, which SQL cannot express; tests compare run() with brute force.
+# The stages hold trained models and a tokenizer, which SQL cannot express; tests compare what run() keeps with brute force.
 ORACLE_SQL = None
 
 

@@ -10,6 +10,7 @@ import corpus_pipeline
 from clickmill.llm import decontamination, quotations, vector_search
 from clickmill.llm.common import table
 from clickmill.llm.queries import ORACLES, QUERIES
+from tests.llm.test_near_dedup import brute
 
 QUESTION = "Anna buys 12 apples for 3 euros each on Monday and gives 12 of them to Peter. How much money is left in the purse of Anna?"
 OTHER = "Maria buys 40 apples for 7 euros each on Friday and gives 40 of them to Josef. How much money is left in the purse of Maria?"
@@ -262,6 +263,27 @@ def test_pipeline_of_nothing_and_of_the_table(spark, documents, sf_dir, tmp_path
     assert corpus_pipeline.run(spark, sf_dir).count() > 100
 
 
+def test_pipeline_decides_by_row(spark, documents, tmp_path):
+    spark.createDataFrame([(1, QUESTION)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean, other = "the thing and the other one are in the house of the man", "the last of the things that are in the list of the man"
+    rows = [(7, clean), (7, other), (7, f"the man says {QUESTION}"), (7, "!!! 123 ..."), (None, clean), (None, f"the man asks {QUESTION}"), (None, "..."), (7, other)]
+    docs = documents(*rows)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), docs.schema)
+    assert sorted((r["doc_id"], r["text"]) for r in docs.collect()) == [(7, other), (7, clean)]
+
+
+def test_pipeline_keeps_what_brute_force_keeps(spark, documents, sf_dir):
+    documents()
+    texts = [(r["doc_id"], r["text"] or "") for r in table(spark, sf_dir, "documents").collect()]
+    items = [r["text"] for r in table(spark, sf_dir, "benchmark").collect()]
+    rows = [(d, t) for d, t in texts if any(c.isalpha() for c in t)]
+    roots = brute(rows)
+    wanted = {d for d, t in rows if roots[d] == d and not any(item in t for item in items)}
+    found = {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").distinct().collect()}
+    assert found <= wanted and len(found) >= len(wanted) - 1
+
+
 def test_every_dealt_operator_has_a_query():
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
 
