@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickmill.llm import decontamination, language, near_dedup, packing, pii, quotations, secrets, token_files, toxicity, vector_search
+from clickmill.llm import centroids, decontamination, language, near_dedup, packing, pii, quotations, secrets, token_files, toxicity, vector_search
 from clickmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_walsh_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_template_decontamination": op1_template_decontamination,
@@ -73,8 +77,45 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_top_k": op8_pivot_top_k,
     "op9_quotation_links": op9_quotation_links,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_walsh_centroids": op13_walsh_centroids,
 }
 
+
+def _centroid_sql() -> str:
+    """Three rounds of plain distances to all centroids."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    text = """
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x,
+                   row_number() OVER (ORDER BY vec_id IS NULL, sha256(concat('1:', CAST(vec_id AS VARCHAR))), embedding) AS place
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS (SELECT place - 1 AS k, x FROM kept WHERE vec_id IS NOT NULL AND place <= 16)"""
+    for step in range(centroids.ROUNDS + 1):
+        text += f""", p{step} AS (
+            SELECT v.r, v.vec_id, v.x, c.k, CAST({square} AS BIGINT) AS d,
+                   row_number() OVER (PARTITION BY v.r ORDER BY {square}, c.k) AS n
+            FROM kept AS v, c{step} AS c
+        ), a{step} AS (SELECT * FROM p{step} WHERE n = 1)"""
+        if step < centroids.ROUNDS:
+            text += f""", s{step} AS (SELECT k, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{step}),
+        m{step} AS (
+            SELECT k, i, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v
+            FROM s{step} GROUP BY k, i
+        ), c{step + 1} AS (
+            SELECT c.k, coalesce(l.x, c.x) AS x
+            FROM c{step} AS c LEFT JOIN (SELECT k, list(v ORDER BY i) AS x FROM m{step} GROUP BY k) AS l ON l.k = c.k
+        )"""
+    return text + f"""
+        SELECT a.vec_id, CAST(a.k AS INTEGER) AS cluster, a.d AS distance,
+               CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{centroids.ROUNDS} AS a JOIN c{centroids.ROUNDS} AS c ON c.k = a.k
+    """
+
+
 ORACLES: dict[str, str] = {
     # The k best by plain arithmetic over all pairs of a query and a candidate.
     "op8_pivot_top_k": """
@@ -151,4 +192,5 @@ ORACLES: dict[str, str] = {
                p.n_quoted, p.n_linked, concat('<|', coalesce(p.role, ''), '|>', chr(10), p.text, chr(10)) AS formatted
         FROM placed AS p LEFT JOIN placed AS o ON o.conv_id = p.conv_id AND o.spot = p.parent
     """,
+    "op13_walsh_centroids": _centroid_sql(),
 }
