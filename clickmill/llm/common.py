@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # A side of a join is broadcast only if it was counted and its rows fit this many bytes; larger ones are shuffled.
 BROADCAST_BYTES = 16 << 20
+# Keys with more than one in so many rows of a table are joined by broadcast.
+FREQUENT = 20_000
 # Entries after which a worker empties its cache of words.
 CACHE_WORDS = 400_000
 
@@ -73,6 +75,18 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def joined_counted(left: DataFrame, right: DataFrame, keys: list[str], number: str, total: int) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which has each key once and in ``number`` how many of ``total`` rows have it.
+
+    Keys with more than 1/FREQUENT of the rows, fewer than FREQUENT keys at any size, are broadcast, so no key's rows meet in
+    one task; the others are shuffled.
+    """
+    hot = F.broadcast(right.filter(F.col(number) * FREQUENT > total))
+    cold = right.filter(F.col(number) * FREQUENT <= total)
+    rare = left.join(F.broadcast(right.filter(F.col(number) * FREQUENT > total).select(*keys)), keys, "left_anti")
+    return left.join(hot, keys).unionByName(rare.join(cold, keys))
+
+
 def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """At most ``rows`` rows, those with the smallest hash of the key: the same ones in every run.
 

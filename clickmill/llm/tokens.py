@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 CACHE_PARTS = 600_000
@@ -28,17 +29,22 @@ _TWO_BLANKS = re.compile(rb"[\x09-\x0d\x1c-\x20][\x09-\x0d\x1c-\x20]")
 # A space before something that is not white space.
 _INNER_SPACE = re.compile(rb" (?![\x09-\x0d\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|$)", re.S)
 
+# How a piece vocabulary writes a blank.
+BLANK_SIGN = "\u2581"
+_BLANKS_AND_WORD = re.compile(rb" +[^ ]*")
+
 
 class PartEncoder:
     """Ids of UTF-8 texts as little-endian unsigned 32-bit bytes.
 
     ``spaced``: white space belongs to the parts (a single space to the part after it) and case matters; otherwise parts
     are separated by white space, which has no ids, and compared in lower case. A spaced part that starts with a zero
-    byte stands for the rest of it, without a space before.
+    byte stands for the rest of it, without a space before. ``plain``: the names of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, spaced: bool):
+    def __init__(self, path: str, spaced: bool, plain: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self.spaced = spaced
         self.known: dict[bytes, bytes] = {}
         size = self.tokenizer.get_vocab_size()
@@ -90,14 +96,51 @@ class PartEncoder:
         return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
 
 
-_ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
+class PieceEncoder:
+    """Ids of UTF-8 texts that begin with a space, by a vocabulary in which that space is part of the first piece.
+
+    No piece holds a blank after another sign, so a cut before each run of blanks is certain (the constructor checks it).
+    """
+
+    def __init__(self, path: str):
+        self.processor = SentencePieceProcessor(model_file=path)
+        names = [self.processor.id_to_piece(i) for i in range(self.processor.get_piece_size())]
+        if any(BLANK_SIGN in name.lstrip(BLANK_SIGN) for name in names):
+            raise ValueError(f"{path}: pieces with inner blanks cannot be encoded in parts")
+        self.blank = np.array([names.index(BLANK_SIGN)], "<u4").tobytes()
+        self.known: dict[bytes, bytes] = {}
+
+    def _learn(self, parts: list[bytes]) -> None:
+        # The library puts the first blank before a text by itself, but not before an empty one.
+        found = self.processor.encode([part[1:].decode() for part in parts], num_threads=1)
+        self.known.update((part, np.array(ids, "<u4").tobytes()) for part, ids in zip(parts, found, strict=True))
+        self.known[b" "] = self.blank
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > CACHE_PARTS:
+            self.known.clear()
+        split = [_BLANKS_AND_WORD.findall(text) for text in texts]
+        new = set().union(*split).difference(self.known)
+        if new:
+            self._learn(list(new))
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+
+
+_ENCODERS: dict[tuple, PartEncoder | PieceEncoder] = {}
+
+
+def encoder(path: str, spaced: bool, plain: bool = False) -> PartEncoder:
+    """One encoder for each vocabulary and worker."""
+    if (path, spaced, plain) not in _ENCODERS:
+        _ENCODERS[path, spaced, plain] = PartEncoder(path, spaced, plain)
+    return _ENCODERS[path, spaced, plain]
 
 
-def encoder(path: str, spaced: bool) -> PartEncoder:
+def piece_encoder(path: str) -> PieceEncoder:
     """One encoder for each vocabulary and worker."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = PartEncoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    if (path,) not in _ENCODERS:
+        _ENCODERS[path,] = PieceEncoder(path)
+    return _ENCODERS[path,]
 
 
 def text_bytes(column) -> list[bytes]:
