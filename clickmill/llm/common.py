@@ -70,6 +70,24 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
+    """The frame as a table in buckets of a key, in the shared folder, and the table's name; joins by the key do not shuffle it."""
+    spark = df.sparkSession
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, name)
+    table_name = path.rsplit("/", 1)[1].replace("-", "_")
+    # Dealt out by the key first, so that each bucket is one file.
+    writer = df.repartition(number, key).write.format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(number, key).saveAsTable(table_name)
+    return spark.table(table_name), table_name
+
+
+def drop_table(df: DataFrame, name: str) -> None:
+    """Delete a table made by ``bucketed``, with its files."""
+    discard(df)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """The frame, marked for broadcast if its counted rows fit BROADCAST_BYTES; otherwise as it is, for a shuffle."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

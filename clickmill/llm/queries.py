@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickmill.llm import alignment, centroids, decontamination, language, near_dedup, packing, pii, quotations, secrets, token_files, toxicity, vector_search
+from clickmill.llm import alignment, centroids, decontamination, language, near_dedup, packing, pii, quotations, repeats, secrets, token_files, toxicity, vector_search
 from clickmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), result=repeats.digests)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
@@ -82,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_top_k": op8_pivot_top_k,
     "op9_quotation_links": op9_quotation_links,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_run_index": op11_run_index,
     "op12_token_alignment": op12_token_alignment,
     "op13_walsh_centroids": op13_walsh_centroids,
 }
