@@ -55,7 +55,7 @@ def email_index(spark: SparkSession, source: str, target: str, rejects: str | No
     ids = sinks.comma_joined(F.col("message_ids"))
     sinks.write_lines(sinks.key_value_lines(pages, "reference", ids), target)
     if rejects:
-        bad = index.email_rejects(mails, "value").unionByName(index.id_less_mails(mails, "value"))
+        bad = index.mail_faults(mails, "value")
         sinks.write_records(bad, rejects)
 
 

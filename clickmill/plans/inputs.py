@@ -157,10 +157,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run one of the texts above on the tables of ``sf_dir``."""
-    used = {name: table(spark, sf_dir, name) for name in BASE_TABLES if "{" + name + "}" in text}
-    if "documents" in used:
-        used["documents"] = spread(used["documents"])
+    """Run one of the texts above on the tables of ``sf_dir``, each dealt out by the one rule of ``spread``."""
+    used = {name: spread(table(spark, sf_dir, name)) for name in BASE_TABLES if "{" + name + "}" in text}
     return spark.sql(text, **used)
 
 

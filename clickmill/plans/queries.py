@@ -97,8 +97,7 @@ def email_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def email_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mails without a value after the id header, and mails with addresses that no id comes before."""
-    mails = inputs.derive(spark, sf_dir, inputs.FAULTY_MAIL)
-    return index.email_rejects(mails, "line").unionByName(index.id_less_mails(mails, "line"))
+    return index.mail_faults(inputs.derive(spark, sf_dir, inputs.FAULTY_MAIL), "line")
 
 
 @query

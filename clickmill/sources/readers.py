@@ -17,9 +17,14 @@ SESSION_SCHEMA = """
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Long texts in fewer files than the cluster has cores, dealt out to all of them; more files as they are."""
+    """A table of fewer files and scan splits than the cluster has cores, dealt out to all of them; others as they are.
+
+    A file of one row group is read by one task, and what follows up to the first exchange stays in that task.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    # Files are listed only where they are few: a split may hold several small ones.
+    few = df.rdd.getNumPartitions() < cores and len(df.inputFiles()) < cores
+    return df.repartition(cores) if few else df
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
