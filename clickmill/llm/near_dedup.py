@@ -5,11 +5,13 @@ smallest hash of a bin's range), empty bins borrow from full ones by optimal den
 bands. Documents with equal sets are one class and enter the buckets once. In each bucket only the edges from a few
 centres are candidates. A document's weight is the number of members that its buckets hold, so in a group of edited copies
 the least edited one weighs most; the heaviest member of a bucket is its centre, and each document is first compared with
-the heaviest of its centres. Where a bucket's members still lie in several components, those that share too few shingles
-with other components to be linked with any are settled. Then the two heaviest of the others are compared with all members of
-other components, and in further rounds members outside of the bucket's largest component, until the members that were no
-centre lie in one component. So no link between two members of a bucket is lost, and the pairs do not grow with the
-square of a group. Links are confirmed on full sets.
+the heaviest of its centres. Where a bucket's members still lie in several components, each gets a limit: the most shingles
+that a document of another component can have to be linked with it, from the number of its shingles that occur there at all.
+A member with no partner within its limit is settled. The two heaviest of the others are compared with the members of other
+components within the limits of both, and in further rounds members outside of the bucket's largest component, until the
+members that were no centre lie in one component. So no link between two members of a bucket is lost. In a group of edited
+copies those far from the least edited one share with others only what they share with it, so just clearly shorter copies
+are within their limits, and the pairs follow the possible links, not the square of the group. Links are confirmed on full sets.
 
 With 32 bands of 4 bins, two documents at the threshold of 0.75 share a bucket with probability 1 - 5e-6, more similar
 ones more surely.
@@ -186,8 +188,13 @@ def _roots_of(ids: DataFrame, roots: DataFrame, name: str, root: str) -> DataFra
 
 
 def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, id, weight, root, share of the buckets whose members lie in several components; share counts those of a root."""
-    rooted = _roots_of(members.select("key", "id", "weight"), roots, "id", "root")
+    """key, id, weight, n, root, share of the buckets whose members lie in several components; share counts those of a root."""
+    rooted = _roots_of(members.select("key", "id", "weight", "n"), roots, "id", "root")
+    return _of_several_roots(rooted)
+
+
+def _of_several_roots(rooted: DataFrame) -> DataFrame:
+    """The members of the buckets that hold several roots, with the members of their root."""
     shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("share"))
     spans = shares.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     several = shares.join(spans.filter("least < most").select("key"), "key", "left_semi")
@@ -205,28 +212,48 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["id", "root", "shingle"])
 
 
-def _settled(active: DataFrame, sets: DataFrame) -> DataFrame:
-    """id of the members that cannot be linked with any active member of another component.
+def _limits(active: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, limit: the most shingles that a document of another component can have to be linked with the id.
 
-    A link needs SHARE of SHARE_OF of a text's shingles in the other document, so in some document of another component. An
-    id is settled if each of its texts falls short.
+    A text of n shingles, of which m occur in active documents of other components, shares at most m with any of them. A link of
+    SHARE in SHARE_OF then needs (SHARE + SHARE_OF) * m >= SHARE * (n + the other's size). So the limit follows from counting
+    alone. A copy that is not linked with the least edited one of its group mostly shares with the others what it shares with
+    that one, so only shorter copies can be linked with it. Members of the largest components have no limit, as a link needs
+    two components and the other one has one. An id takes the highest limit of its texts.
     """
     ids = stored(active.select("id", "root").distinct(), "rooted")
     rooted = ids.join(sets, "id").select("id", "root", "set")
     shingles = rooted.mapInArrow(_exploded, "id bigint, root bigint, shingle bigint")
     spread = shingles.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
-    # The members of the largest components need not be settled: the others settle their buckets.
     largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
     outside = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"]).select("id").distinct()
     text = F.xxhash64("set").alias("text")
     own = stored(rooted.join(outside, "id", "left_semi").filter(F.length("set") > 0).select("id", text, "set"), "minor")
     minor = own.mapInArrow(_exploded, "id bigint, text bigint, shingle bigint")
-    elsewhere = minor.join(spread.select("shingle"), "shingle").groupBy("id", "text").agg(F.count(F.lit(1)).alias("n"))
-    # Copies of a text count as often in its size as in n.
-    sizes = own.groupBy("id", "text").agg(F.sum((F.length("set") / 8).cast("bigint")).alias("size"))
-    counted = sizes.join(elsewhere, ["id", "text"], "left")
-    best = counted.groupBy("id").agg(F.max(SHARE_OF * F.coalesce("n", F.lit(0)) - SHARE * F.col("size")).alias("best"))
-    return best.filter("best < 0").select("id")
+    elsewhere = minor.join(spread.select("shingle"), "shingle").groupBy("id", "text").agg(F.count(F.lit(1)).alias("m"))
+    # Copies of a text count as often in its size as in m.
+    sizes = own.groupBy("id", "text").agg(F.sum((F.length("set") / 8).cast("bigint")).alias("size"), F.count(F.lit(1)).alias("copies"))
+    counted = sizes.join(elsewhere, ["id", "text"], "left").withColumn("m", F.coalesce("m", F.lit(0)))
+    limit = F.expr(f"(({SHARE} + {SHARE_OF}) * m - {SHARE} * size) div ({SHARE} * copies)")
+    found = stored(counted.groupBy("id").agg(F.max(limit).alias("limit")), "limits")
+    for frame in (ids, own):
+        discard(frame)
+    return found
+
+
+def _limited(active: DataFrame, limits: DataFrame) -> DataFrame:
+    """The active members without those that can be linked with no member of another component of their bucket, with ``limit``.
+
+    The smallest member of each component decides; the two smallest of different components suffice for all.
+    """
+    known = active.drop("share").join(limits, "id", "left")
+    smallest = active.groupBy("key", "root").agg(F.min("n").alias("n"))
+    first = smallest.groupBy("key").agg(F.min(F.struct("n", "root")).alias("first"))
+    others = smallest.join(first, "key").filter(F.col("root") != F.col("first")["root"])
+    pair = others.groupBy("key", "first").agg(F.min("n").alias("second"))
+    other = F.when(F.col("root") == F.col("first")["root"], F.col("second")).otherwise(F.col("first")["n"])
+    able = F.col("limit").isNull() | ((other <= F.col("limit")) & (SHARE * F.col("n") <= SHARE_OF * F.col("limit")))
+    return _of_several_roots(known.join(pair, "key").filter(able).drop("first", "second"))
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -243,8 +270,10 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
     banded = rep_rows.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"), F.max("id").alias("most"))
     sized = stored(banded.join(sizes.filter("least < most").select("key", "size"), "key"), "sized")
-    weights = sized.groupBy("id").agg(F.sum("size").alias("weight"))
-    buckets = stored(sized.join(weights, "id").select("key", "id", "weight"), "buckets")
+    # The least number of shingles of an id's texts.
+    least = members.groupBy(F.col("doc_id").alias("id")).agg(F.min("n_shingles").alias("n"))
+    weights = sized.groupBy("id").agg(F.sum("size").alias("weight")).join(least, "id")
+    buckets = stored(sized.join(weights, "id").select("key", "id", "weight", "n"), "buckets")
     discard(sized)
 
     # Several texts under one doc_id are one document.
@@ -277,8 +306,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
     while True:
         active = stored(_open_members(members, roots), "active")
         if not active.isEmpty():
-            settled = stored(_settled(active, sets), "settled")
-            active = stored(_open_members(active.select("key", "id", "weight").join(settled, "id", "left_anti"), roots), "active")
+            limits = _limits(active, sets)
+            limited = stored(_limited(active, limits), "active")
+            discard(active)
+            discard(limits)
+            active = limited
         if active.isEmpty():
             break
         if allowed:
@@ -289,16 +321,27 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
         else:
             able, order, number = active, [F.desc("weight"), F.col("id")], 2
         place = F.row_number().over(Window.partitionBy("key").orderBy(*order))
-        chosen = stored(able.withColumn("place", place).filter(F.col("place") <= number).select("key", "id", "root"), "centres")
-        centre = chosen.select("key", F.col("id").alias("centre"), F.col("root").alias("centre_root"))
-        crossed = active.join(centre, "key").filter(F.col("centre_root") != F.col("root"))
+        chosen = able.withColumn("place", place).filter(F.col("place") <= number)
+        chosen = stored(chosen.select("key", "id", "root", "n", "limit"), "centres")
+        centre = chosen.toDF("key", "centre", "centre_root", "centre_n", "centre_limit")
+        # Of other components, and of a size that a link allows: by the limits of both, and of their ratio.
+        possible = (
+            (F.col("centre_root") != F.col("root"))
+            & (F.col("centre_n") <= F.coalesce("limit", "centre_n"))
+            & (F.col("n") <= F.coalesce("centre_limit", "n"))
+        )
+        crossed = active.join(centre, "key").filter(possible)
         fresh = crossed.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
         pairs = stored(fresh.join(asked, ["a", "b"], "left_anti"), "pairs")
-        asked = stored(asked.unionByName(pairs), "asked")
+        before, asked = asked, stored(asked.unionByName(pairs), "asked")
         links, roots = linked(links, roots, pairs)
-        # A member that was a centre has been compared with all others of its bucket.
-        rest = active.select("key", "id", "weight").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        # A member that was a centre has been compared with all others of its bucket that it can be linked with.
+        rest = active.select("key", "id", "weight", "n").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
+        if members is not buckets:
+            discard(members)
         members = stored(rest, "members")
+        for frame in (active, chosen, pairs, before):
+            discard(frame)
         allowed = CENTRES * max(allowed, 1)
     discard(sets)
     class_roots = _roots_of(classes, roots, "rep", "root").select("digest", "root")
