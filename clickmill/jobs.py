@@ -5,10 +5,14 @@ Lists longer than a page take several lines or records, in page order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clickmill.functions.sampling import keyed_sample, sampled
+from clickmill.functions.sampling import sampled
 from clickmill.functions.text import tokenize_lower
 from clickmill.operators import classify, index, metrics, sessionlog, sessions, subtypes, summaries, vin, words
 from clickmill.sources import readers, sinks
@@ -17,10 +21,20 @@ USER_CITY = ("user_id", "city")
 USER_CITY_ORDER = ("event_time", "event_type", "event_subtype", "vin")
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """A frame that several outputs start from: checkpointed if the cluster names a folder, else computed for each."""
+def shared(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """A frame that several outputs start from: checkpointed if the cluster names a folder, else kept at a storage level."""
     folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    return df.checkpoint() if folder else df
+    return df.checkpoint() if folder else df.persist(level)
+
+
+@contextmanager
+def kept(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """The shared frame, made once for all outputs of the block and released after the last one."""
+    frame = shared(df, level)
+    try:
+        yield frame
+    finally:
+        frame.unpersist()
 
 
 def word_count(spark: SparkSession, source: str, target: str) -> None:
@@ -62,23 +76,33 @@ def email_index(spark: SparkSession, source: str, target: str, rejects: str | No
 def verse_index(spark: SparkSession, source: str, by_word: str, by_count: str, rejects: str | None = None) -> None:
     """Lines ``(word,[id, id])``: in word order, and by descending number of ids; the lists are made once for both."""
     lines = readers.read_lines(spark, source)
-    pages = shared(index.verse_index(index.verse_postings(lines, "value"), n_refs="n_refs"))
-    shown = sinks.bracketed(F.col("verse_ids"))
-    ordered = pages.orderBy("word", "page").withColumn("verse_ids", shown)
-    sinks.write_lines(sinks.pair_lines(ordered, "word", "verse_ids"), by_word)
-    counted = index.by_reference_count(pages).withColumn("verse_ids", shown)
-    sinks.write_lines(sinks.pair_lines(counted, "word", "verse_ids"), by_count)
+    with kept(index.verse_index(index.verse_postings(lines, "value"), n_refs="n_refs")) as pages:
+        shown = sinks.bracketed(F.col("verse_ids"))
+        ordered = pages.orderBy("word", "page").withColumn("verse_ids", shown)
+        sinks.write_lines(sinks.pair_lines(ordered, "word", "verse_ids"), by_word)
+        counted = index.by_reference_count(pages).withColumn("verse_ids", shown)
+        sinks.write_lines(sinks.pair_lines(counted, "word", "verse_ids"), by_count)
     if rejects:
         sinks.write_records(index.verse_rejects(lines, "value"), rejects)
 
 
 def user_sessions(spark: SparkSession, source: str, target: str, rejects: str | None = None) -> None:
-    """Nested sessions by user with their sizes; lines that cannot be parsed go to ``rejects`` if given."""
-    events, bad = sessionlog.parse_session_log(readers.read_lines(spark, source), "value")
-    runs = sessions.event_runs(events)
-    sinks.write_records(sessions.session_lists(runs, facts={"n_events": F.count(F.lit(1))}), target)
-    if rejects:
-        sinks.write_records(bad, rejects)
+    """Nested sessions by user with their sizes; lines that cannot be parsed go to ``rejects`` if given.
+
+    Lines are parsed once: with rejects, kept and rejected lines are two filters on the same shared frame.
+    """
+
+    def write(parsed: DataFrame) -> None:
+        runs = sessions.event_runs(sessionlog.accepted(parsed))
+        sinks.write_records(sessions.session_lists(runs, facts={"n_events": F.count(F.lit(1))}), target)
+
+    parsed = sessionlog.parsed_lines(readers.read_lines(spark, source), "value")
+    if not rejects:
+        write(parsed)
+        return
+    with kept(parsed) as once:
+        write(once)
+        sinks.write_records(sessionlog.rejected(once), rejects)
 
 
 def field_value_counts(spark: SparkSession, source: str, target: str, strict_last_field: bool = False) -> None:
@@ -100,21 +124,43 @@ def vin_impressions(spark: SparkSession, session_path: str, impression_paths: li
     sinks.write_records(vin.vin_join(vin.vin_user_metrics(events), shown), target)
 
 
+def stored_size(stored: DataFrame) -> Column:
+    """The number of events of a stored session. Pages of a session do not tell it: their table must hold n_events."""
+    if "n_events" in stored.columns:
+        return F.col("n_events")
+    if "page" in stored.columns:
+        raise ValueError("sessions stored in pages need the column n_events")
+    return F.size("events")
+
+
 def small_stored_sessions(stored: DataFrame, max_events: int = sessions.MAX_EVENTS) -> DataFrame:
     """user_id, events: the stored sessions of at most ``max_events`` events. Larger ones are known by their size."""
-    size = F.col("n_events") if "n_events" in stored.columns else F.size("events")
-    return stored.filter(size <= max_events).select("user_id", "events")
+    return stored.filter(stored_size(stored) <= max_events).select("user_id", "events")
 
 
 def session_bins(spark: SparkSession, session_path: str, target: str, counters: str | None = None) -> None:
-    """Sessions of at most 100 events, one directory per label; clickers and showers sampled. No shuffle."""
+    """Sessions of at most 100 events, one directory per label; clickers and showers sampled. No shuffle.
+
+    The counters are observed while the sessions are written: one pass, and a task that is run again counts once, as it is a
+    task of the last stage.
+    """
     stored = readers.read_sessions(spark, session_path)
-    labelled = classify.classify_multi(small_stored_sessions(stored), require_contact_form=True)
+    large = stored_size(stored) > sessions.MAX_EVENTS
+    first = F.col("page") == 0 if "page" in stored.columns else F.lit(True)
+    sizes, labels = Observation(), Observation()
+    observed = stored.observe(sizes, F.count_if(large & first).alias("large_discarded"))
+    labelled = classify.classify_multi(small_stored_sessions(observed), require_contact_form=True)
     keys = ["session_type", "user_id"]
-    sinks.write_by_label(keyed_sample(labelled, "session_type", keys, classify.SAMPLE_RATES), target)
+    stays = sampled(F.col("session_type"), keys, classify.SAMPLE_RATES, 42, inclusive=False)
+    counts = [
+        F.count_if((F.col("session_type") == name) & (stays if kept_ones else ~stays)).alias(f"{name}_{end}")
+        for name in classify.SESSION_TYPES
+        for kept_ones, end in ((True, "written"), (False, "discarded"))
+    ]
+    sinks.write_by_label(labelled.observe(labels, *counts).filter(stays), target)
     if counters:
-        flat = sessions.explode_sessions(stored.select("user_id", "events"))
-        sinks.write_records(metrics.filter_metrics(flat), counters)
+        found = [(metric, value) for metric, value in (sizes.get | labels.get).items() if value]
+        sinks.write_records(spark.createDataFrame(found, "metric string, value bigint"), counters)
 
 
 def subtype_statistics(spark: SparkSession, session_path: str, target: str, bins: str | None = None) -> None:
@@ -132,14 +178,14 @@ def user_city_sessions(
     """Lines ``((user,city),[<type:subtype,time,vin>, ...])`` in key order; one in ten showers kept."""
     lines = readers.read_lines_union(spark, source, second_source)
     events = sessionlog.raw_events(lines, "value")
-    runs = shared(sessions.event_runs(events, USER_CITY, USER_CITY_ORDER, dedupe=False))
-    kept = sampled(classify.shower_label(), USER_CITY, {"shower": classify.SHOWER_RATE}, 42, inclusive=True)
-    pages = sessions.session_lists(runs, USER_CITY, dedupe=False, facts=classify.shower_facts(), kept=kept)
-    key = F.concat(F.lit("("), F.concat_ws(",", *USER_CITY), F.lit(")"))
-    shown = pages.orderBy(*USER_CITY, "page").select(key.alias("key"), sessions.session_text(F.col("events")).alias("list"))
-    sinks.write_lines(sinks.pair_lines(shown, "key", "list"), target)
-    if counters:
-        sinks.write_records(metrics.session_metrics(classify.shower_sessions(runs, USER_CITY), USER_CITY), counters)
+    stay = sampled(classify.shower_label(), USER_CITY, {"shower": classify.SHOWER_RATE}, 42, inclusive=True)
+    with kept(sessions.event_runs(events, USER_CITY, USER_CITY_ORDER, dedupe=False)) as runs:
+        pages = sessions.session_lists(runs, USER_CITY, dedupe=False, facts=classify.shower_facts(), kept=stay)
+        key = F.concat(F.lit("("), F.concat_ws(",", *USER_CITY), F.lit(")"))
+        shown = pages.orderBy(*USER_CITY, "page").select(key.alias("key"), sessions.session_text(F.col("events")).alias("list"))
+        sinks.write_lines(sinks.pair_lines(shown, "key", "list"), target)
+        if counters:
+            sinks.write_records(metrics.session_metrics(classify.shower_sessions(runs, USER_CITY), USER_CITY), counters)
     if rejects:
         sinks.write_records(sessionlog.raw_event_rejects(lines, "value"), rejects)
 

@@ -88,7 +88,10 @@ def _fields(df: DataFrame, line: str) -> DataFrame:
     return df.select(F.col(line).alias("line"), F.explode(F.array(fields)).alias("fields"))
 
 
-def _parsed(df: DataFrame, line: str, strict_last_field: bool, drop_all_null: bool, numeric: str) -> DataFrame:
+def parsed_lines(
+    df: DataFrame, line: str, strict_last_field: bool = False, drop_all_null: bool = False, numeric: str = "wide"
+) -> DataFrame:
+    """line, reason (why it is no event; NULL if it is one) and the event's fields: one row per line."""
     event = _field("event")
     last = F.get("fields", F.size("fields") - 1) if strict_last_field else _field("features")
     parts = F.sort_array(F.coalesce(feature_parts(last), F.array().cast("array<string>")))
@@ -126,6 +129,16 @@ def _parsed(df: DataFrame, line: str, strict_last_field: bool, drop_all_null: bo
     )
 
 
+def accepted(parsed: DataFrame) -> DataFrame:
+    """The events of parsed lines."""
+    return parsed.filter("reason is null").drop("line", "reason")
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """line, reason of the parsed lines that are no events."""
+    return parsed.filter("reason is not null").select("line", "reason")
+
+
 def parse_session_log(
     df: DataFrame,
     line: str,
@@ -138,14 +151,13 @@ def parse_session_log(
 
     ``strict_last_field`` reads the features from the last field present, ``numeric`` picks the number types.
     """
-    parsed = _parsed(df, line, strict_last_field, drop_all_null, numeric)
-    rejected = F.col("reason").isNotNull()
+    parsed = parsed_lines(df, line, strict_last_field, drop_all_null, numeric)
     if mode == "failfast":
         failure = F.raise_error(F.concat_ws(": ", "reason", "line")).cast("boolean")
-        good = parsed.filter(F.when(rejected, failure).otherwise(F.lit(True)))
+        events = parsed.filter(F.when(F.col("reason").isNotNull(), failure).otherwise(F.lit(True))).drop("line", "reason")
     else:
-        good = parsed.filter(~rejected)
-    return good.drop("line", "reason"), parsed.filter(rejected).select("line", "reason")
+        events = accepted(parsed)
+    return events, rejected(parsed)
 
 
 def _raw_reason() -> Column:

@@ -116,3 +116,49 @@ def test_shared_frames_are_checkpointed_where_a_folder_is_named(spark):
     plan = jobs.shared(df)._jdf.queryExecution().optimizedPlan().toString()
     assert ("LogicalRDD" in plan) is bool(spark.conf.get("spark.checkpoint.dir", None))
     assert sorted(r["x"] for r in jobs.shared(df).collect()) == [0, 2, 4]
+
+
+def test_a_kept_frame_is_made_once_and_released(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5).mapInArrow(counted, "id bigint")
+    with jobs.kept(df) as frame:
+        assert frame.count() == 5 and sorted(r["id"] for r in frame.filter("id > 2").collect()) == [3, 4]
+    assert made.value == 5
+    assert not frame.is_cached
+
+
+def test_verse_index_makes_its_lists_once(spark, out_dir, files, monkeypatch):
+    write, target = files
+    plans = []
+    write_lines = jobs.sinks.write_lines
+    monkeypatch.setattr(jobs.sinks, "write_lines", lambda df, path: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write_lines(df, path)))
+    jobs.verse_index(spark, write("verses", "g:1:10 in the", "g:1:2 the"), target("words"), target("counts"))
+    assert len(plans) == 2 and all("InMemoryRelation" in plan or "LogicalRDD" in plan for plan in plans)
+
+
+def test_observed_counters_equal_the_aggregate(spark, out_dir, files):
+    write, target = files
+    kinds = ["click features", "show badges", "visit features", "submit contact form", "edit badges"]
+    lines = [log_line(user_id=f"u{i % 97}", event=kinds[(i * i) % 5 if i % 97 < 60 else i % 2], vin=f"V{i}") for i in range(700)]
+    lines += [log_line(user_id="many", event="click features", vin=f"V{i}") for i in range(130)]
+    jobs.user_sessions(spark, write("log", *lines), target("sessions"), target("rejects"))
+    assert spark.read.parquet(target("rejects")).count() == 0
+    jobs.session_bins(spark, target("sessions"), target("bins"), target("counters"))
+    found = {r["metric"]: r["value"] for r in spark.read.parquet(target("counters")).collect()}
+    flat = jobs.sessions.explode_sessions(spark.read.parquet(target("sessions")).select("user_id", "events"))
+    assert found == {r["metric"]: r["value"] for r in jobs.metrics.filter_metrics(flat).collect()}
+    assert found["large_discarded"] == 1 and found["clicker_discarded"] > 0
+    written = spark.read.parquet(target("bins")).groupBy("session_type").count().collect()
+    assert {f"{r['session_type']}_written": r["count"] for r in written} == {k: v for k, v in found.items() if k.endswith("_written")}
+
+
+def test_pages_without_their_size_are_refused(spark):
+    pages = spark.createDataFrame([("u", 0, ["e"])], "user_id string, page int, events array<string>")
+    with pytest.raises(ValueError, match="n_events"):
+        jobs.small_stored_sessions(pages)
