@@ -86,15 +86,22 @@ def verse_index(spark: SparkSession, source: str, by_word: str, by_count: str, r
         sinks.write_records(index.verse_rejects(lines, "value"), rejects)
 
 
-def user_sessions(spark: SparkSession, source: str, target: str, rejects: str | None = None) -> None:
+def user_sessions(
+    spark: SparkSession, source: str, target: str, rejects: str | None = None, table: str | None = None, buckets: int = 200
+) -> None:
     """Nested sessions by user with their sizes; lines that cannot be parsed go to ``rejects`` if given.
 
-    Lines are parsed once: with rejects, kept and rejected lines are two filters on the same shared frame.
+    Lines are parsed once: with rejects, kept and rejected lines are two filters on the same shared frame. With ``table`` the
+    sessions are stored at ``target`` as a table of that name in buckets by user, which later jobs group without a shuffle.
     """
 
     def write(parsed: DataFrame) -> None:
         runs = sessions.event_runs(sessionlog.accepted(parsed))
-        sinks.write_records(sessions.session_lists(runs, facts={"n_events": F.count(F.lit(1))}), target)
+        pages = sessions.session_lists(runs, facts={"n_events": F.count(F.lit(1))})
+        if table:
+            sinks.write_buckets(pages, table, target, "user_id", buckets)
+        else:
+            sinks.write_records(pages, target)
 
     parsed = sessionlog.parsed_lines(readers.read_lines(spark, source), "value")
     if not rejects:
@@ -163,9 +170,14 @@ def session_bins(spark: SparkSession, session_path: str, target: str, counters:
         sinks.write_records(spark.createDataFrame(found, "metric string, value bigint"), counters)
 
 
-def subtype_statistics(spark: SparkSession, session_path: str, target: str, bins: str | None = None) -> None:
-    """Statistics of all session types, one directory per type; the sessions of each type too if asked for."""
-    stored = readers.read_sessions(spark, session_path)
+def subtype_statistics(
+    spark: SparkSession, session_path: str | None, target: str, bins: str | None = None, table: str | None = None
+) -> None:
+    """Statistics of all session types, one directory per type; the sessions of each type too if asked for.
+
+    Sessions are read from a path, or from the ``table`` that ``user_sessions`` stored in buckets.
+    """
+    stored = spark.table(table) if table else readers.read_sessions(spark, session_path)
     flat = sessions.explode_sessions(stored.select("user_id", "events"))
     sinks.write_by_label(subtypes.subtype_statistics(flat), target)
     if bins:

@@ -87,3 +87,24 @@ def test_few_files_are_spread_and_many_left_alone(spark, out_dir):
         df = spark.read.parquet(path)
         assert (readers.spread(df) is not df) == spread
         assert sorted(rows(readers.spread(df))) == [(i,) for i in range(100)]
+
+
+def test_rebalanced_labels_have_few_files_and_large_ones_are_split(spark, out_dir):
+    df = spark.range(20_000, numPartitions=8).selectExpr("id", "concat('l', CASE WHEN id % 10 < 8 THEN 0 ELSE id % 10 END) AS label", "md5(string(id)) AS filler")
+    files = {}
+    for rebalance in (False, True):
+        path = os.path.join(out_dir, f"labels{rebalance}")
+        sinks.write_by_label(df, path, "label", rebalance=rebalance)
+        assert spark.read.parquet(path).count() == 20_000
+        files[rebalance] = len(spark.read.parquet(path).inputFiles())
+    assert files[True] < files[False] == 24
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        sizes = sinks.balanced(df, "label").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        laid_out = sinks.balanced(df, "label").withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    per_task = {}
+    for row in laid_out:
+        per_task[row["p"]] = per_task.get(row["p"], 0) + 1
+    assert sizes and max(per_task.values()) < 0.5 * 20_000

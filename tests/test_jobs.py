@@ -162,3 +162,22 @@ def test_pages_without_their_size_are_refused(spark):
     pages = spark.createDataFrame([("u", 0, ["e"])], "user_id string, page int, events array<string>")
     with pytest.raises(ValueError, match="n_events"):
         jobs.small_stored_sessions(pages)
+
+
+def test_bucketed_sessions_are_grouped_without_a_shuffle_by_user(spark, out_dir, files):
+    write, target = files
+    lines = [log_line(user_id=f"u{i % 23}", event="visit features" if i % 3 else "click badges", vin=f"V{i}") for i in range(300)]
+    source = write("log", *lines)
+    jobs.user_sessions(spark, source, target("plain"))
+    jobs.subtype_statistics(spark, target("plain"), target("plain_stats"))
+    jobs.user_sessions(spark, source, target("buckets"), table="stored_sessions", buckets=5)
+    try:
+        jobs.subtype_statistics(spark, None, target("bucket_stats"), table="stored_sessions")
+        flat = jobs.sessions.explode_sessions(spark.table("stored_sessions").select("user_id", "events"))
+        plan = jobs.subtypes.subtype_statistics(flat)._jdf.queryExecution().executedPlan().toString()
+        exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanged and not any("hashpartitioning(user_id" in line for line in exchanged)
+    finally:
+        spark.sql("DROP TABLE stored_sessions")
+    found, wanted = (spark.read.parquet(target(f"{name}_stats")).collect() for name in ("bucket", "plain"))
+    assert sorted(map(str, found)) == sorted(map(str, wanted)) and found
