@@ -2,8 +2,10 @@
 
 import random
 
-from clickmill.llm.common import table
-from clickmill.llm.near_dedup import components, near_duplicates
+import numpy as np
+
+from clickmill.llm.common import mixed, table
+from clickmill.llm.near_dedup import components, near_duplicates, parity_sketch
 
 
 def shingles(text):
@@ -66,6 +68,18 @@ def test_a_long_text_does_not_settle_the_short_text_of_its_document(documents):
     check(near_duplicates(documents(*rows)), rows)
 
 
+def test_sketches_differ_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(3)
+    for shared, left, right in ((0, 0, 1), (90, 5, 5), (600, 100, 300), (50, 3_000, 2_000), (5_000, 0, 0)):
+        values = np.unique(mixed(np.arange(shared + left + right, dtype=np.uint64) + np.uint64(rng.integers(1 << 40))))
+        rng.shuffle(values)
+        a, b = np.sort(values[: shared + left]), np.sort(np.concatenate([values[:shared], values[shared + left :]]))
+        apart = int(np.bitwise_count(parity_sketch(a) ^ parity_sketch(b)).sum())
+        assert apart <= left + right and (apart > 0) == (left + right > 0)
+        if 0 < left + right <= 100:
+            assert apart >= 0.8 * (left + right)
+
+
 def test_nothing_and_clashing_columns(spark, documents):
     assert near_duplicates(documents()).count() == 0
     df = spark.createDataFrame([(1, "a b", 1, 2, 3), (2, "a b", 1, 2, 3)], "doc_id bigint, text string, id bigint, key bigint, digest bigint")
