@@ -57,6 +57,23 @@ def test_token_files_of_the_table(spark, sf_dir):
     check_files(token_files.token_files(docs, WORDS), [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_many_rows_of_one_document_and_several_files_of_a_task(spark, documents):
+    rows = [(None if i % 3 == 0 else i, f"text {i % 50} " * (i % 7)) for i in range(400)]
+    kept = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        found = token_files.token_files(documents(*rows).repartition(5), WORDS).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", kept)
+    # The rows in the order of their starts fill the ids without a gap, doc_ids ascend, and each row has its own ids.
+    found = sorted(found, key=lambda r: r["start"])
+    assert [r["start"] for r in found] == [0, *np.cumsum([r["n_tokens"] for r in found])[:-1].tolist()]
+    ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in found]
+    assert ids == sorted(ids)
+    wanted = sorted(((d, len(one), zlib.crc32(one)) for d, one in expected(rows, WORDS, 2)), key=str)
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found), key=str) == wanted
+
+
 def test_files_ascend_and_prune_by_document(spark, documents):
     folder = new_path(spark, "token-files")
     token_files.write_token_files(documents(*[(i, f"text {i}") for i in range(200)]), folder, WORDS)
