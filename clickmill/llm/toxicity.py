@@ -5,10 +5,12 @@ number of weights. FTRL-proximal has a learning rate per coordinate and an L1 te
 zero, so that the model is a short list of weights. Shards of the labelled rows are trained independently and their
 weights averaged.
 
-The model is fitted on at most TRAIN_ROWS labelled rows (those with the smallest hash of doc_id); every row is scored over
-its whole text.
+The model is fitted on a sample of about TRAIN_ROWS texts with a label: those of the TRAIN_ROWS labelled doc_ids with the
+smallest hashes, and of their different texts, should some ids have many, a share by hash that leaves TRAIN_ROWS. The order of
+training follows hashes of doc_id and text, so it is the same in every run. Every row is scored over its whole text.
 
-Defined results: rows whose label is null teach nothing, several labels of one doc_id count as toxic if one does; a null
+Defined results: rows whose label is null teach nothing, several labels of one doc_id count as toxic if one does; different
+texts of one doc_id teach each by itself, equal ones once; a null
 or empty text has no features and gets the score of the intercept; a null doc_id is held out; without any labelled row
 all scores are 0.5 (and predicted 1) as nothing is known; an empty table gives no rows; further columns are ignored.
 """
@@ -85,23 +87,35 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, bits: int = WEIGHT_BITS,
 
 
 def _shard_weights(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values(["place", "doc_id"], kind="stable")
+    frame = frame.sort_values(["place", "doc_id", "digest"], kind="stable")
     rows = [np.unique(np.append(features((text or "").encode()), 0)) for text in frame["text"]]
     weights = fitted(rows, frame["toxic"].to_numpy(float))
     at = np.flatnonzero(weights)
     return pd.DataFrame({"at": at.astype(np.int64), "weight": weights[at]})
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shard_rows: int = SHARD_ROWS) -> dict[int, float]:
-    """The non-zero weights, learnt from at most ``rows`` labelled rows outside of the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[DataFrame, int]:
+    """doc_id, digest, place, toxic, text, draw of about ``rows`` labelled texts outside of the held-out fold, and their number."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = sampled(known, rows, "doc_id")
-    shards = max(1, -(-min(rows, known.count()) // shard_rows))
     # At most ``rows`` pairs of numbers, so the chosen labels fit a broadcast whatever the size of the table.
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    place = F.xxhash64("doc_id").alias("place")
-    dealt = texts.select("doc_id", "text", "toxic", place, F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(shards)).alias("shard"))
+    hashed = texts.withColumns({"place": F.xxhash64("doc_id"), "digest": F.xxhash64(F.coalesce("text", F.lit("")))})
+    distinct = hashed.groupBy("doc_id", "digest").agg(*[F.first(c).alias(c) for c in ("place", "toxic", "text")])
+    # The number of rows, not of labels, bounds what is learnt from: a doc_id may have any number of texts.
+    number = hashed.select("doc_id", "digest").distinct().count()
+    draw = F.xxhash64("digest", "doc_id")
+    if number > rows:
+        distinct = distinct.filter(draw.cast("double") < F.lit((2 * rows / number - 1) * 2.0**63))
+    return distinct.withColumn("draw", draw), min(rows, number)
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, shard_rows: int = SHARD_ROWS) -> dict[int, float]:
+    """The non-zero weights, learnt from ``training_rows`` in shards of about ``shard_rows``."""
+    taught, number = training_rows(docs, labels, rows)
+    shards = max(1, -(-number // shard_rows))
+    dealt = taught.withColumn("shard", F.pmod("draw", F.lit(shards)))
     learnt = dealt.groupBy("shard").applyInPandas(_shard_weights, "at bigint, weight double")
     mean = learnt.groupBy("at").agg((F.sum("weight") / shards).alias("weight"))
     return {row["at"]: row["weight"] for row in mean.collect()}

@@ -198,6 +198,48 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert toxicity.toxicity(documents(), known).count() == 0
 
 
+def test_toxicity_weights_are_those_of_a_plain_loop(spark, documents):
+    draw = random.Random(4)
+    rows = [(i % 90, " ".join(draw.choice(["Idiot!", "scum", "nice", "day", "a", "b,", "c"]) for _ in range(12))) for i in range(150)]
+    rows += rows[:20] + [(3, None), (4, "")]
+    labels = {i: i % 3 == 0 for i in range(90)}
+    known = spark.createDataFrame([(i, int(t)) for i, t in labels.items()], "doc_id bigint, toxic int")
+    got = [toxicity.train(documents(*some).repartition(n), known) for some, n in ((rows, 3), (rows[::-1], 7))]
+    assert got[0] == got[1]
+
+    order = {(r["d"], r["t"]): (r["p"], r["d"], r["h"]) for r in spark.createDataFrame(
+        [(d, t or "") for d, t in set(rows)], "d bigint, t string").selectExpr("d", "t", "xxhash64(d) p", "xxhash64(t) h").collect()}
+    taught = sorted((x for x in order if zlib.crc32(str(x[0]).encode()) % 5), key=order.get)
+    z, n = {}, {}
+
+    def weight(at):
+        bound, total = (toxicity.L1 if at else 0.0), z.get(at, 0.0)
+        if abs(total) <= bound:
+            return 0.0
+        return (np.sign(total) * bound - total) / ((toxicity.BETA + n.get(at, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for doc_id, text in taught:
+            active = {0, *toxicity.features(text.encode()).tolist()}
+            weights = {at: weight(at) for at in active}
+            gradient = 1 / (1 + np.exp(-sum(weights.values()))) - labels[doc_id]
+            for at, old in weights.items():
+                before = n.get(at, 0.0)
+                n[at] = before + gradient**2
+                z[at] = z.get(at, 0.0) + gradient - (n[at] ** 0.5 - before**0.5) / toxicity.ALPHA * old
+    wanted = {at: weight(at) for at in z if weight(at)}
+    assert wanted and got[0].keys() == wanted.keys()
+    assert all(abs(got[0][at] - w) < 1e-9 for at, w in wanted.items())
+
+
+def test_many_texts_of_one_labelled_document_are_bounded(spark, documents):
+    rows = [(1, f"w{i} w{i + 1} w{i % 5}") for i in range(2_000)] + [(2, "x y")]
+    known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    assert 60 < toxicity.training_rows(documents(*rows), known, rows=100)[0].count() < 140
+    bounded = toxicity.train(documents(*rows), known, rows=100, shard_rows=50)
+    assert bounded == toxicity.train(documents(*rows[::-1]), known, rows=100, shard_rows=50)
+
+
 def test_held_out_labels_change_no_score(spark, documents):
     rows = [(i, f"w{i % 7} w{i % 3}") for i in range(60)]
     labels = [(i, i % 2) for i in range(60)]
