@@ -42,9 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set, as in local tests."""
+    """The folder named by spark.checkpoint.dir; a temporary one only where none is set and all tasks run on this machine."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="clickmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
