@@ -133,6 +133,25 @@ def test_search_with_a_crowded_ring(spark, documents, monkeypatch):
     assert search(spark, rows, every=25) == brute_top(rows, every=25)
 
 
+def test_search_prunes_clustered_vectors(spark, documents):
+    documents()
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16))
+    near = centres[rng.integers(0, 40, 4000)] + 0.02 * rng.normal(size=(4000, 16))
+    rows = [(i, [float(x) for x in v.astype(np.float32)]) for i, v in enumerate(near)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = vector_search.compared_products(df, pivots=40).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == brute_top(rows)
+    compared = {r["query_id"]: r["n_compared"] for r in found}
+    assert len(compared) == 80 and sum(compared.values()) < 0.2 * 80 * 4000
+
+
+def test_search_of_empty_and_repeated_vectors(spark, documents):
+    documents()
+    rows = [(i, []) for i in range(3)] + [(5, [1.0, -2.0])] * 300 + [(i, [float(i), 1.0]) for i in range(100, 103)]
+    assert search(spark, rows, every=50) == brute_top(rows, every=50)
+
+
 def test_search_of_few_or_no_vectors(spark, documents):
     documents()
     assert search(spark, []) == [] and search(spark, [(50, [1.0])]) == []
