@@ -15,8 +15,8 @@ between words are split by character.
 A document leaks an item if half of the item's windows (five at least, or all of fewer) are found in it, or so many of its
 template windows alone, or nine windows along one alignment, which is a passage of thirteen words.
 
-The documents' windows are first looked up in a bitmap of the benchmark's hashes. It has a fixed size, whatever the size
-of the benchmark; what passes is joined exactly. Pairs of document and item start from each item's rarest windows: enough
+The documents' windows are first looked up in a bitmap of the benchmark's hashes. Its size follows the number of the benchmark's
+windows up to 16 MB (eight million windows at a sixteenth of the bits set, more windows at denser bits); what passes is joined exactly. Pairs of document and item start from each item's rarest windows: enough
 of them that a leak cannot miss all (so a phrase that all items share makes no pairs).
 
 Defined results: a text without words (null, empty, signs only) has no windows and neither leaks nor is leaked; repeated
@@ -27,7 +27,7 @@ coverage is the larger share, of all windows or of the template windows; further
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,9 @@ LEAST_WORDS = 3  # literal words in a template window
 LEAST_SHARE = 0.5
 LEAST_WINDOWS = 5
 ALIGNED_WINDOWS = 9
-BITMAP_BITS = 1 << 22
+# Bits of the bitmap: so many for each window of the benchmark, as a power of two between these two numbers (512 KB, 16 MB).
+BITS_A_WINDOW = 16
+BITMAP_BITS, MOST_BITMAP_BITS = 1 << 22, 1 << 27
 # White-space parts after which a worker empties its cache of them.
 CACHE_WORDS = 600_000
 
@@ -125,12 +127,13 @@ def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
+        known = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
 
         def passes(hashes: np.ndarray) -> np.ndarray:
             if known is None:
                 return np.ones(len(hashes), bool)
-            return known[(hashes % np.uint64(BITMAP_BITS)).astype(np.int64)].astype(bool)
+            bit = (hashes % np.uint64(8 * len(known))).astype(np.int64)
+            return (known[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
 
         for batch in portions(batches):
             texts = [text.split() for text in text_bytes(batch.column(1))]
@@ -179,15 +182,22 @@ def _windows_of(rows: DataFrame, key: str, bitmap: bytes | None = None, widths:
     return texts.mapInArrow(_template_windows(bitmap, widths), columns)
 
 
+def bitmap_bits(n_windows: int) -> int:
+    """The size of the bitmap for a benchmark of so many windows: a power of two, so the remainder needs no unsigned numbers."""
+    wanted = 1 << (max(BITS_A_WINDOW * n_windows, 1) - 1).bit_length()
+    return min(max(wanted, BITMAP_BITS), MOST_BITMAP_BITS)
+
+
 def _bitmap_of(hashes: DataFrame) -> bytes:
-    """BITMAP_BITS bits, one set for each hash; made by the aggregate for bitmaps and fetched in pieces of 4 KB."""
+    """A bit for each remainder of a hash, set if there is one; made by the aggregate for bitmaps and fetched in pieces of 4 KB."""
+    n_bits = bitmap_bits(hashes.count())
     # The remainder of the hash as an unsigned number, as the workers take it.
-    bit = F.pmod(F.pmod("hash", F.lit(BITMAP_BITS)), F.lit(BITMAP_BITS)) + 1
+    bit = F.pmod("hash", F.lit(n_bits)) + 1
     bits = hashes.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
     rows = bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect()
     pieces = {row["bucket"]: bytes(row["bits"]) for row in rows}
     size = 32768
-    return b"".join(pieces.get(bucket, bytes(size // 8)) for bucket in range(1, BITMAP_BITS // size + 1))
+    return b"".join(pieces.get(bucket, bytes(size // 8)) for bucket in range(1, n_bits // size + 1))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
