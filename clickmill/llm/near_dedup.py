@@ -286,15 +286,18 @@ def _limits(active: DataFrame, sets: DataFrame) -> DataFrame:
 def _limited(active: DataFrame, limits: DataFrame) -> DataFrame:
     """The active members without those that can be linked with no member of another component of their bucket, with ``limit``.
 
-    The smallest member of each component decides; the two smallest of different components suffice for all.
+    A member whose limit is too small for its own size has no partner at all, and goes first with the buckets that it kept open.
+    Of the rest the smallest member of each component decides; the two smallest of different components suffice for all.
     """
     known = active.drop("share").join(limits, "id", "left")
-    smallest = active.groupBy("key", "root").agg(F.min("n").alias("n"))
+    alone = F.coalesce(SHARE * F.col("n") > SHARE_OF * F.col("limit"), F.lit(False))
+    known = _of_several_roots(known.filter(~alone)).drop("share")
+    smallest = known.groupBy("key", "root").agg(F.min("n").alias("n"))
     first = smallest.groupBy("key").agg(F.min(F.struct("n", "root")).alias("first"))
     others = smallest.join(first, "key").filter(F.col("root") != F.col("first")["root"])
     pair = others.groupBy("key", "first").agg(F.min("n").alias("second"))
     other = F.when(F.col("root") == F.col("first")["root"], F.col("second")).otherwise(F.col("first")["n"])
-    able = F.col("limit").isNull() | ((other <= F.col("limit")) & (SHARE * F.col("n") <= SHARE_OF * F.col("limit")))
+    able = F.col("limit").isNull() | (other <= F.col("limit"))
     return _of_several_roots(known.join(pair, "key").filter(able).drop("first", "second"))
 
 
