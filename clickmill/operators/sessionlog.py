@@ -10,6 +10,7 @@ LOG_FIELDS = (
     "user_id", "event", "event_timestamp", "city", "vin", "vehicle_condition", "year", "make",
     "model", "trim", "body_style", "cab_style", "price", "mileage", "free_carfax_report", "features",
 )
+RAW_FIELDS = LOG_FIELDS.index("vin") + 1
 EVENT_TYPES = ("CHANGE", "CLICK", "DISPLAY", "EDIT", "SHOW", "SUBMIT", "VISIT")
 EVENT_SUBTYPES = (
     "ALTERNATIVE", "BADGES", "BADGE_DETAIL", "CONTACT_BANNER", "CONTACT_BUTTON", "CONTACT_FORM",
@@ -56,14 +57,17 @@ def _field(name: str) -> Column:
     return F.get("fields", F.lit(LOG_FIELDS.index(name)))
 
 
-def _reason(event_type: Column, event_subtype: Column, numbers: dict[str, Column]) -> Column:
+def _reason() -> Column:
     """Why the line cannot be an event; NULL if it can."""
+    event_type, event_subtype = F.col("event_type"), F.col("event_subtype")
 
     def unknown(value: Column, symbols: tuple[str, ...]) -> Column:
         return (value != NULL_TEXT) & ~value.isin(*symbols)
 
     def not_whole(name: str) -> Column:
-        return ~_field(name).rlike(WHOLE_NUMBER) | numbers[name].isNull()
+        # A number that is written as in the line is whole; the pattern decides on others.
+        other = F.col(name).cast("string") != _field(name)
+        return F.col(name).isNull() | (other & ~_field(name).rlike(WHOLE_NUMBER))
 
     cab_style = _field("cab_style")
     return (
@@ -76,14 +80,14 @@ def _reason(event_type: Column, event_subtype: Column, numbers: dict[str, Column
         .when(unknown(_field("body_style"), BODY_STYLES), "unknown body style")
         .when((cab_style != NULL_TEXT) & ~cab_style.contains(" "), "cab style without a space")
         .when(unknown(F.substring_index(cab_style, " ", 1), CAB_STYLES), "unknown cab style")
-        .when(numbers["price"].isNull(), "price is not a number")
+        .when(F.col("price").isNull(), "price is not a number")
         .when(not_whole("mileage"), "mileage is not a whole number")
     )
 
 
-def _fields(df: DataFrame, line: str) -> DataFrame:
-    """line, fields: the tab-separated fields without trailing empty ones."""
-    fields = F.split(F.rtrim(F.col(line), F.lit("\t")), "\t")
+def _fields(df: DataFrame, line: str, first: int | None = None) -> DataFrame:
+    """line, fields: the tab-separated fields without trailing empty ones, or the ``first`` of them and the rest of the line."""
+    fields = F.split(F.rtrim(F.col(line), F.lit("\t")), "\t", first + 1 if first else -1)
     # Generated rather than projected, so that later filters use the array and do not split the line again.
     return df.select(F.col(line).alias("line"), F.explode(F.array(fields)).alias("fields"))
 
@@ -95,35 +99,38 @@ def parsed_lines(
     event = _field("event")
     last = F.get("fields", F.size("fields") - 1) if strict_last_field else _field("features")
     parts = F.sort_array(F.coalesce(feature_parts(last), F.array().cast("array<string>")))
-    raw = _fields(df, line).select("*", F.instr(event, " ").alias("blank"), parts.alias("parts"))
     raw_type = F.substring_index(event, " ", 1)
-    raw_subtype = F.substr(event, F.col("blank") + 1)
+    raw_subtype = F.substr(event, F.instr(event, " ") + 1)
     event_type = F.upper(_null_text(raw_type))
     event_subtype = F.upper(F.translate(_null_text(raw_subtype), " ", "_"))
     year_type, price_type, mileage_type = NUMERIC[numeric]
-    numbers = {
-        "year": _field("year").try_cast(year_type),
-        "price": _field("price").try_cast(price_type),
-        "mileage": _field("mileage").try_cast(mileage_type),
-    }
+    # Generated as the fields are, so that the reason and the filters on it do not repeat any of these.
+    read = F.struct(
+        event_type.alias("event_type"),
+        event_subtype.alias("event_subtype"),
+        _field("year").try_cast(year_type).alias("year"),
+        _field("price").try_cast(price_type).alias("price"),
+        _field("mileage").try_cast(mileage_type).alias("mileage"),
+    )
+    raw = _fields(df, line).select("line", "fields", F.inline(F.array(read))).withColumn("parts", parts)
     return raw.select(
         "line",
-        _reason(event_type, event_subtype, numbers).alias("reason"),
+        _reason().alias("reason"),
         _field("user_id").alias("user_id"),
-        event_type.alias("event_type"),
-        event_subtype.alias("event_subtype"),
+        "event_type",
+        "event_subtype",
         _field("event_timestamp").alias("event_time"),
         _field("city").alias("city"),
         _field("vin").alias("vin"),
         _null_text(_field("vehicle_condition")).alias("condition"),
-        numbers["year"].alias("year"),
+        "year",
         _field("make").alias("make"),
         _field("model").alias("model"),
         _field("trim").alias("trim"),
         _null_text(_field("body_style")).alias("body_style"),
         F.substring_index(_null_text(_field("cab_style")), " ", 1).alias("cab_style"),
-        numbers["price"].alias("price"),
-        numbers["mileage"].alias("mileage"),
+        "price",
+        "mileage",
         carfax_flag(_field("free_carfax_report")).alias("free_carfax_report"),
         without_null(F.col("parts"), drop_all_null).alias("features"),
     )
@@ -172,7 +179,7 @@ def _raw_reason() -> Column:
 def raw_events(df: DataFrame, line: str) -> DataFrame:
     """user_id, city, event_type, event_subtype, event_time, vin as written; faulty lines are left to the rejects."""
     event = _field("event")
-    return _fields(df, line).filter(_raw_reason().isNull()).select(
+    return _fields(df, line, RAW_FIELDS).filter(_raw_reason().isNull()).select(
         _field("user_id").alias("user_id"),
         _field("city").alias("city"),
         F.substring_index(event, " ", 1).alias("event_type"),
@@ -184,4 +191,4 @@ def raw_events(df: DataFrame, line: str) -> DataFrame:
 
 def raw_event_rejects(df: DataFrame, line: str) -> DataFrame:
     """line, reason: the lines that ``raw_events`` leaves out."""
-    return _fields(df, line).select("line", _raw_reason().alias("reason")).filter("reason is not null")
+    return _fields(df, line, RAW_FIELDS).select("line", _raw_reason().alias("reason")).filter("reason is not null")

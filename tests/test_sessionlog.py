@@ -1,6 +1,6 @@
 import pytest
 
-from clickmill.operators.sessionlog import parse_session_log, raw_events
+from clickmill.operators.sessionlog import parse_session_log, raw_event_rejects, raw_events
 from helpers import log_line, rows
 
 
@@ -110,3 +110,19 @@ def test_raw_events_keep_the_text_as_written(lines):
         ("u1", "Austin", "Show", "Contact Form", "2017-01-01 10:00:00", "V1"),
         ("u2", "c", "click", "x", "t", "v"),
     ]
+
+
+def test_whole_numbers_however_they_are_written(lines):
+    good = ["7", "-7", "+7", "007", "0"]
+    bad = [" 7", "7 ", "7.0", "", "x", "+", "99999999999999999999"]
+    events, rejects = parse_session_log(lines(*[log_line(mileage=m) for m in good + bad]), "line")
+    assert sorted(r["mileage"] for r in events.collect()) == [-7, 0, 7, 7, 7]
+    assert sorted(r["line"].split("\t")[13] for r in rejects.collect()) == sorted(bad)
+    assert {r["reason"] for r in rejects.collect()} == {"mileage is not a whole number"}
+
+
+def test_raw_events_read_five_fields_and_no_trailing_empty_ones(lines):
+    texts = ["u\tshow x\tt\tc\tv", "u\tshow x\tt\tc\tv\tw\t\t", "u\tshow x\tt\tc\t\tw", "u\tshow x\tt\tc\t\t\t"]
+    found = raw_events(lines(*texts), "line")
+    assert sorted(r["vin"] for r in found.collect()) == ["", "v", "v"]
+    assert [r["line"] for r in raw_event_rejects(lines(*texts), "line").collect()] == texts[3:]
