@@ -36,12 +36,16 @@ def _events(spark: SparkSession, sf_dir: str, log: str = inputs.LOG) -> DataFram
     return sessionlog.parse_session_log(lines, "line")[0]
 
 
+def _resent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessionlog.parse_session_log(inputs.resent_lines(spark, sf_dir), "line")[0]
+
+
 def _distinct_events(spark: SparkSession, sf_dir: str, log: str = inputs.LOG) -> DataFrame:
     return _events(spark, sf_dir, log).distinct()
 
 
 def _city_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = inputs.derive(spark, sf_dir, inputs.lines(inputs.RESENT_LOG))
+    log = inputs.resent_lines(spark, sf_dir)
     stream = inputs.derive(spark, sf_dir, inputs.STREAM_LINES)
     return sessionlog.raw_events(log.unionByName(stream), "line")
 
@@ -168,14 +172,14 @@ def field_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sessions.sessionize(sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG)))
+    found = sessions.sessionize(sessions.event_runs(_resent_events(spark, sf_dir)))
     return found.drop("copies").withColumnRenamed("start", "pos").withColumn("features", F.array_join("features", ":"))
 
 
 @query
 def session_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions as nested lists, rendered as text."""
-    pages = sessions.session_lists(sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG)))
+    pages = sessions.session_lists(sessions.event_runs(_resent_events(spark, sf_dir)))
     text = sessions.session_text(F.col("events"))
     return pages.select("user_id", "page", F.size("events").alias("n_events"), text.alias("events"))
 
@@ -183,7 +187,7 @@ def session_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def session_lists_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions in small pages with their sizes, the large ones sorted in ranges."""
-    runs = sessions.event_runs(_events(spark, sf_dir, inputs.RESENT_LOG))
+    runs = sessions.event_runs(_resent_events(spark, sf_dir))
     size = {"n_all": F.count(F.lit(1))}
     pages = sessions.session_lists(runs, page_size=SMALL_PAGE, split_rows=SMALL_SPLIT, facts=size)
     text = sessions.session_text(F.col("events"))

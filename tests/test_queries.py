@@ -129,3 +129,12 @@ def test_result_does_not_depend_on_the_number_of_partitions(spark, name):
 @needs_data
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+@needs_data
+def test_lines_sent_again_are_those_of_the_sql(spark):
+    found = inputs.resent_lines(spark, SF_DIR)
+    wanted = inputs.derive(spark, SF_DIR, inputs.lines(inputs.RESENT_LOG))
+    assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
