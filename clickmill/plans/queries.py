@@ -41,7 +41,8 @@ def _resent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _distinct_events(spark: SparkSession, sf_dir: str, log: str = inputs.LOG) -> DataFrame:
-    return _events(spark, sf_dir, log).distinct()
+    """What labels and counts read of the distinct events."""
+    return sessions.distinct_events(_events(spark, sf_dir, log), ["user_id", "event_type", "event_subtype"])
 
 
 def _city_events(spark: SparkSession, sf_dir: str) -> DataFrame:

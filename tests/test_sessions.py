@@ -98,3 +98,17 @@ def test_sum_of_session_lengths_is_the_number_of_distinct_events(spark):
     runs = sessions.event_runs(df, USER_CITY, USER_CITY_ORDER)
     total = sessions.session_lists(runs, USER_CITY).agg(F.sum(F.size("events"))).first()[0]
     assert total == df.distinct().count()
+
+
+def test_distinct_events_are_told_apart_by_their_other_fields(spark):
+    schema = "user_id STRING, event_type STRING, vin STRING, city STRING, price DOUBLE, features ARRAY<STRING>"
+    data = [
+        ("u", "SHOW", vin, city, price, features)
+        for vin, city in [(None, "-"), ("-", None), ("", "1:a"), ("1:a", ""), ("ab", "c"), ("a", "bc"), (None, None)]
+        for price in (0.0, -0.0, float("nan"), None, 950.0)
+        for features in (None, [], [None], ["null"], ["a", "b"], ["a,b"], ['a","b'])
+    ]
+    df = spark.createDataFrame(data + data[::2], schema)
+    found = sessions.distinct_events(df, ["user_id", "event_type"])
+    assert found.columns == ["user_id", "event_type"]
+    assert found.count() == df.distinct().count() == 7 * 4 * 7
