@@ -304,7 +304,7 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, documents, sf_dir):
 
 
 def test_every_dealt_operator_has_a_query():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
 
 
 @pytest.mark.parametrize("name", ["op1_template_decontamination", "op3_language_fusion", "op9_quotation_links"])
