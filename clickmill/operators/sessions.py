@@ -59,7 +59,8 @@ def distinct_events(events: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     others = [field for field in events.schema if field.name not in columns]
     digest = F.unhex(F.substring(F.sha2(F.concat(*[_exact_text(f.name, f.dataType) for f in others]), 256), 1, 32))
-    return events.select(*columns, digest.alias("digest")).distinct().drop("digest")
+    # Generated, so that its code is a step of its own: in one with a parser's it would be too long for the JVM to compile.
+    return events.select(*columns, F.explode(F.array(digest)).alias("digest")).distinct().drop("digest")
 
 
 def sessionize(
