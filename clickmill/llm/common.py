@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 16 << 20
 # Keys with more than one in so many rows of a table are joined by broadcast.
 FREQUENT = 20_000
+# Bytes of rows that Spark hands to a Python worker at once. A batch lies in the executor's memory several times: as a growing
+# buffer, on its way, and in the worker; with the default of 64 MB that is a large part of an executor for each task.
+BATCH_BYTES = 8 << 20
 # Entries after which a worker empties its cache of words.
 CACHE_WORDS = 400_000
 
@@ -56,11 +60,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside gets Arrow batches of at most BATCH_BYTES, or a row if that is larger; the option is put back after it."""
+    option = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: its lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with bounded_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -80,7 +97,8 @@ def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
     table_name = path.rsplit("/", 1)[1].replace("-", "_")
     # Dealt out by the key first, so that each bucket is one file.
     writer = df.repartition(number, key).write.format("parquet").option("path", path).option("compression", "zstd")
-    writer.bucketBy(number, key).saveAsTable(table_name)
+    with bounded_batches(spark):
+        writer.bucketBy(number, key).saveAsTable(table_name)
     return spark.table(table_name), table_name
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,9 @@ import pyarrow.compute
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-CACHE_PARTS = 600_000
+# Known parts of a worker; beyond this number it forgets all but the first CORE_PARTS, which hold most of the frequent ones.
+CACHE_PARTS = 500_000
+CORE_PARTS = 250_000
 # Texts that are worked on at a time, so that a worker's memory does not follow the size of its batches.
 PORTION_BYTES = 2 << 20
 # New words that the library is asked for in one text.
@@ -25,7 +28,13 @@ JOINED_WORDS = 64
 _SIGNS = re.compile(
     rb"([.,;:!?](?:(?<=[A-Za-z][.,;:!?])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][.,;:!?]))[.,;:!?]*)(?=[ \n]|$)"
 )
+# The same with other signs, for the spaced vocabulary: it cuts between letters and signs, and its special names hold none of these.
+_MORE_SIGNS = re.compile(
+    rb"([!-&(-;=?@\[-`{}~](?:(?<=[A-Za-z][!-/:-@\[-`{-~])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][!-/:-@\[-`{-~]))[!-&(-/:;=?@\[-`{}~]*)(?=[ \n]|$)"
+)
 _TWO_BLANKS = re.compile(rb"[\x09-\x0d\x1c-\x20][\x09-\x0d\x1c-\x20]")
+# First bytes of white space beyond ASCII, and of some other signs.
+_FAR_BLANKS = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80")
 # A space before something that is not white space.
 _INNER_SPACE = re.compile(rb" (?![\x09-\x0d\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2[\x80\x81]|\xe3\x80\x80|$)", re.S)
 
@@ -34,6 +43,16 @@ BLANK_SIGN = "\u2581"
 _BLANKS_AND_WORD = re.compile(rb" +[^ ]*")
 
 
+def _gaps(ids: list[bytes | None]) -> list[int]:
+    """Where the list holds None."""
+    found = []
+    at = -1
+    for _ in range(ids.count(None)):
+        at = ids.index(None, at + 1)
+        found.append(at)
+    return found
+
+
 class PartEncoder:
     """Ids of UTF-8 texts as little-endian unsigned 32-bit bytes.
 
@@ -58,9 +77,10 @@ class PartEncoder:
         if b"\0" in text:
             # The mark itself occurs: the whole text is one part, as texts with zero bytes are rare.
             return [b"\0" + text]
-        if text.isascii() and not _TWO_BLANKS.search(text):
-            return (b"\0" + _SIGNS.sub(rb" " + b"\0" + rb"\1", text).replace(b"\n", b" \0\n \0")).split(b" ")
-        return _INNER_SPACE.split(b"\0" + _SIGNS.sub(rb" " + b"\0" + rb"\1", text))
+        cut = b"\0" + _MORE_SIGNS.sub(rb" " + b"\0" + rb"\1", text)
+        if not _TWO_BLANKS.search(text) and (text.isascii() or not _FAR_BLANKS.search(text)):
+            return cut.replace(b"\n", b" \0\n \0").split(b" ")
+        return _INNER_SPACE.split(cut)
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -73,8 +93,9 @@ class PartEncoder:
 
     def _learn(self, parts: list[bytes]) -> None:
         """Fill ``known``. Plain words are asked for side by side, and told apart by the edges of words in their ids."""
-        words = [p for p in parts if p.decode().isalpha()]
-        rest = [p for p in parts if not p.decode().isalpha()]
+        words, rest = [], []
+        for part in parts:
+            (words if part.decode().isalpha() else rest).append(part)
         groups = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
         lead = " " if self.spaced else ""
         for group, ids in zip(groups, self._ask([lead + b" ".join(g).decode() for g in groups]), strict=True):
@@ -88,12 +109,18 @@ class PartEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > CACHE_PARTS:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), CORE_PARTS))
         split = [self._split(text) for text in texts]
-        new = set().union(*split).difference(self.known)
+        # Each part is looked up once; only those not found then are looked up again.
+        found = [list(map(self.known.get, parts)) for parts in split]
+        gaps = [_gaps(ids) for ids in found]
+        new = {parts[at] for parts, missing in zip(split, gaps, strict=True) for at in missing}
         if new:
             self._learn(list(new))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        for parts, ids, missing in zip(split, found, gaps, strict=True):
+            for at in missing:
+                ids[at] = self.known[parts[at]]
+        return [b"".join(ids) for ids in found]
 
 
 class PieceEncoder:

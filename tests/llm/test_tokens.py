@@ -1,5 +1,6 @@
 """Token files and packing against the tokenizer library."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from clickmill.llm import packing, token_files
+from clickmill.llm import packing, token_files, tokens
 from clickmill.llm.common import new_path, table
 from clickmill.llm.tokens import PartEncoder
 
@@ -28,6 +29,41 @@ def test_ids_are_those_of_the_library(path, spaced):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize(("path", "spaced"), [(WORDS, False), (BYTES, True)])
+def test_ids_of_mixed_texts_are_those_of_the_library_when_the_cache_overflows(path, spaced, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 40)
+    monkeypatch.setattr(tokens, "CORE_PARTS", 10)
+    draw = random.Random(5)
+    signs = ["&&&", ".", ".***", "%", ")", "'s", "'", '"', "-", "<", "|>", "<|endoftext|>", ">", "\u2026", "\u201d", "_", "\\", "~", "{}", "/", ":;"]
+    blanks = [" ", " ", " ", "\n", "\n", "  ", "\n\n", " \n", "\t", "\xa0", "\u2028", "\u3000", "\x85", "\x1c", ""]
+    words = ["word", "Wort", "\xe9t\xe9", "co\xfb", "7", "x\xd7", "\u0391\u03b8", "\u65e5\u672c", "a", "It", "", "\xf7"]
+    texts = ["".join(draw.choice(x) for _ in range(30) for x in (words, signs + [""] * 20, blanks)) for _ in range(300)]
+    ours, library = PartEncoder(path, spaced), Tokenizer.from_file(path)
+    for at in range(0, len(texts), 20):
+        part = texts[at : at + 20]
+        for text, ids in zip(part, ours.encode([t.encode() for t in part]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_signs_and_line_ends_make_no_new_parts():
+    ours = PartEncoder(BYTES, True)
+    ours.encode(["\xe9t\xe9 word&&& Next\nword.\nNext &&&".encode()])
+    assert {b"word", b"\0&&&", b"\0\n", b"\0Next", b"\0."} <= set(ours.known)
+    known = len(ours.known)
+    ours.encode(["word. word\nNext&&& \xe9t\xe9.\nNext word&&&".encode()])
+    assert set(list(ours.known)[known:]) <= {b"\0word", "\xe9t\xe9".encode()}
+
+
+def test_a_full_cache_keeps_its_first_parts(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 4)
+    monkeypatch.setattr(tokens, "CORE_PARTS", 2)
+    ours = PartEncoder(BYTES, True)
+    ours.encode([b"a b c d e f"])
+    first = list(ours.known)[:2]
+    ours.encode([b"g h"])
+    assert list(ours.known)[:2] == first and len(ours.known) <= 2 + 2
+
+
 def expected(rows, path, end):
     library = Tokenizer.from_file(path)
     return [(d, np.array([*library.encode(t or "", add_special_tokens=False).ids, end], "<u4")) for d, t in rows]
