@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import mixed, stored
+from clickmill.llm.common import bounded_batches, mixed, stored
 from clickmill.llm.tokens import portions
 
 SAMPLE_DOCS = 2_000  # for each language
@@ -102,7 +102,8 @@ def _labelled_sample(docs: DataFrame, sample: int) -> DataFrame:
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
     """The languages, and log-probabilities by language and bucket, from at most ``sample`` rows a language of doc_id, text, lang."""
     counted = _labelled_sample(docs, sample).mapInArrow(_bucket_counts, "lang string, bucket bigint, n bigint")
-    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    with bounded_batches(docs.sparkSession):
+        rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = rows["lang"].combine_chunks().dictionary_encode()
     langs = sorted(names.dictionary.to_pylist())
     order = np.array([langs.index(lang) for lang in names.dictionary.to_pylist()], np.int64)
