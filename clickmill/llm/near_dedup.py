@@ -230,17 +230,25 @@ def _roots_of(ids: DataFrame, roots: DataFrame, name: str, root: str) -> DataFra
 
 
 def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, id, weight, n, root, share of the buckets whose members lie in several components; share counts those of a root."""
-    rooted = _roots_of(members.select("key", "id", "weight", "n"), roots, "id", "root")
-    return _of_several_roots(rooted)
+    """key, id, weight, n, root of the buckets whose members lie in several components."""
+    return _of_several_roots(_roots_of(members.select("key", "id", "weight", "n"), roots, "id", "root"))
 
 
 def _of_several_roots(rooted: DataFrame) -> DataFrame:
-    """The members of the buckets that hold several roots, with the members of their root."""
-    shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("share"))
-    spans = shares.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    several = shares.join(spans.filter("least < most").select("key"), "key", "left_semi")
-    return rooted.join(several, ["key", "root"])
+    """The members of the buckets that hold several roots."""
+    spans = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    return rooted.join(spans.filter("least < most").select("key"), "key", "left_semi")
+
+
+def _shares(active: DataFrame) -> DataFrame:
+    """key, root, share: how many members of a bucket a root has."""
+    return active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("share"))
+
+
+def _outside_largest(active: DataFrame) -> DataFrame:
+    """The members that do not belong to the root with the most members of their bucket."""
+    largest = _shares(active).groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
+    return active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"]).drop("largest")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,8 +275,7 @@ def _limits(active: DataFrame, sets: DataFrame) -> DataFrame:
     rooted = ids.join(sets, "id").select("id", "root", "set")
     shingles = rooted.mapInArrow(_exploded, "id bigint, root bigint, shingle bigint")
     spread = shingles.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
-    largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
-    outside = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"]).select("id").distinct()
+    outside = _outside_largest(active).select("id").distinct()
     text = F.xxhash64("set").alias("text")
     own = stored(rooted.join(outside, "id", "left_semi").filter(F.length("set") > 0).select("id", text, "set"), "minor")
     minor = own.mapInArrow(_exploded, "id bigint, text bigint, shingle bigint")
@@ -286,12 +293,12 @@ def _limits(active: DataFrame, sets: DataFrame) -> DataFrame:
 def _limited(active: DataFrame, limits: DataFrame) -> DataFrame:
     """The active members without those that can be linked with no member of another component of their bucket, with ``limit``.
 
-    A member whose limit is too small for its own size has no partner at all, and goes first with the buckets that it kept open.
-    Of the rest the smallest member of each component decides; the two smallest of different components suffice for all.
+    A member whose limit is too small for its own size has no partner at all, and goes first with the buckets that it kept open,
+    as only buckets of several roots have two smallest. Of the rest the smallest member of each component decides; the two
+    smallest of different components suffice for all.
     """
-    known = active.drop("share").join(limits, "id", "left")
     alone = F.coalesce(SHARE * F.col("n") > SHARE_OF * F.col("limit"), F.lit(False))
-    known = _of_several_roots(known.filter(~alone)).drop("share")
+    known = active.join(limits, "id", "left").filter(~alone)
     smallest = known.groupBy("key", "root").agg(F.min("n").alias("n"))
     first = smallest.groupBy("key").agg(F.min(F.struct("n", "root")).alias("first"))
     others = smallest.join(first, "key").filter(F.col("root") != F.col("first")["root"])
@@ -360,8 +367,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
             break
         if allowed:
             # Members outside of the largest component; those of the smallest components before others.
-            largest = active.groupBy("key").agg(F.max(F.struct("share", "root")).alias("largest"))
-            able = active.join(largest, "key").filter(F.col("root") != F.col("largest")["root"])
+            able = _outside_largest(active).join(_shares(active), ["key", "root"])
             order, number = [F.col("share"), F.col("id")], allowed
         else:
             able, order, number = active, [F.desc("weight"), F.col("id")], 2

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from clickmill.llm.common import mixed, table
-from clickmill.llm.near_dedup import components, near_duplicates, parity_sketch
+from clickmill.llm.near_dedup import _limited, _of_several_roots, components, near_duplicates, parity_sketch
 
 
 def shingles(text):
@@ -104,3 +104,26 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "a bigint, b bigint")
     found = {r["id"]: r["root"] for r in components(edges).collect()}
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def _joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
+def test_open_members_are_found_by_one_join_on_the_bucket(spark):
+    rooted = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 1, 5), (2, 2, 5), (2, 3, 6), (3, 3, 6)], "key bigint, id bigint, root bigint")
+    found = _of_several_roots(rooted)
+    assert sorted(map(tuple, found.collect())) == [(2, 1, 5), (2, 2, 5), (2, 3, 6)]
+    assert _joins(found) == 1
+
+
+def test_a_bucket_closes_with_its_last_member_of_another_root(spark):
+    active = spark.createDataFrame(
+        # 3 can have no partner, so bucket 1 closes; in bucket 2 the smallest of each root are within the limits.
+        [(1, 1, 9, 100, 1), (1, 2, 9, 100, 1), (1, 3, 9, 100, 3), (2, 1, 9, 100, 1), (2, 4, 9, 90, 4), (3, 4, 9, 90, 4), (3, 5, 9, 120, 5)],
+        "key bigint, id bigint, weight bigint, n bigint, root bigint",
+    )
+    limits = spark.createDataFrame([(3, 50), (4, 110)], "id bigint, limit bigint")
+    found = _limited(active, limits)
+    assert sorted((r["key"], r["id"]) for r in found.collect()) == [(2, 1), (2, 4)]
+    assert _joins(found) <= 11
