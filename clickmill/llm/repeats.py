@@ -28,7 +28,6 @@ are ignored. Offsets are bytes of UTF-8.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -47,7 +46,7 @@ LARGEST = 2048
 # Bytes of whole groups in one index.
 INDEX_BYTES = 1 << 18
 # Window starts that are looked at together in a long text.
-BLOCK = 1 << 19
+BLOCK = 1 << 16
 # Symbols of 9 bits in the first key of a suffix.
 PACKED = 7
 
@@ -92,43 +91,38 @@ def _sliding(values: np.ndarray, width: int, extreme) -> np.ndarray:
 def _anchors(data: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
     """The anchor of every valid window, -1 for the others."""
     size = kmer_size(length)
-    width = length - size + 1
     hashes = _kmer_hashes(data, size)
-    least = _sliding(hashes, width, np.minimum)
-    around = np.zeros(len(least) + 2 * (width - 1), np.uint32)
-    around[width - 1 : width - 1 + len(least)] = np.where(valid, least, 0)
-    places = np.flatnonzero(_sliding(around, width, np.maximum) == hashes)
-    # The first place from the window's start whose hash is the window's smallest.
-    anchors = np.full(len(least), -1, np.int64)
-    windows = np.flatnonzero(valid)
-    at = np.searchsorted(places, windows)
-    while len(windows):
-        found = hashes[places[at]] == least[windows]
-        anchors[windows[found]] = places[at[found]]
-        windows, at = windows[~found], at[~found] + 1
-    return anchors
+    # Hash and place in one number, so the smallest one of a window is its leftmost KMER with the smallest hash.
+    numbered = (hashes.astype(np.uint64) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
+    least = _sliding(numbered, length - size + 1, np.minimum)
+    return np.where(valid, (least & np.uint64(0xFFFFFFFF)).astype(np.int64), -1)
 
 
-def segments(texts: list[bytes], length: int = LENGTH) -> Iterator[Segment]:
-    """All segments of all texts, by text and place."""
-    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).tolist()
-    data = np.frombuffer(b"".join(texts), np.uint8)
+def _places(texts: list[bytes], length: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one string; of all segments their text, anchor, first and last window there, and where their text starts."""
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, np.uint8)
     valid = np.ones(max(0, len(data) - length + 1), bool)
-    for end, start in zip(starts[1:], starts[:-1], strict=True):
+    for end, start in zip(starts[1:].tolist(), starts[:-1].tolist(), strict=True):
         valid[max(start, end - length + 1) : end] = False
-    pieces = []
+    anchors = np.empty(len(valid), np.int64)
     for block in range(0, len(valid), BLOCK):
         part = _anchors(data[block : block + BLOCK + length - 1], valid[block : block + BLOCK], length)
-        pieces.append(np.where(part >= 0, part + block, -1))
-    anchors = np.concatenate(pieces) if pieces else np.empty(0, np.int64)
+        anchors[block : block + BLOCK] = np.where(part >= 0, part + block, -1)
     # A text's last windows are not valid, so neighbours of two texts are never one segment.
     firsts = np.flatnonzero(np.diff(anchors, prepend=-1) != 0)
     lasts = np.append(firsts[1:], len(anchors)) - 1
     real = anchors[firsts] >= 0
     firsts, lasts = firsts[real], lasts[real]
     of = np.searchsorted(starts, firsts, side="right") - 1
-    base = np.asarray(starts)[of]
-    for values in zip(of.tolist(), (anchors[firsts] - base).tolist(), (firsts - base).tolist(), (lasts - base).tolist(), strict=True):
+    return whole, of, anchors[firsts], firsts, lasts, starts[of]
+
+
+def segments(texts: list[bytes], length: int = LENGTH) -> Iterator[Segment]:
+    """All segments of all texts, by text and place."""
+    _, of, anchors, firsts, lasts, base = _places(texts, length)
+    for values in zip(of.tolist(), (anchors - base).tolist(), (firsts - base).tolist(), (lasts - base).tolist(), strict=True):
         yield Segment(*values)
 
 
@@ -137,10 +131,26 @@ def _signed_hash(data: bytes, seed: int = 0) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _keys(text: bytes, segment: Segment, length: int) -> tuple[int, int]:
-    """Hashes of the anchor and of the whole segment."""
-    anchor = text[segment.anchor : segment.anchor + kmer_size(length)]
-    return _signed_hash(anchor), _signed_hash(text[segment.first : segment.last + length])
+def _hashes(whole: bytes, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The signed hashes of the parts of a string."""
+    digest = xxhash.xxh3_64_intdigest
+    found = [digest(whole[a:b]) for a, b in zip(firsts.tolist(), ends.tolist(), strict=True)]
+    return np.array(found, np.uint64).view(np.int64)
+
+
+def _asked_segments(texts: list[bytes], asked: list[list[dict]], length: int) -> Iterator[tuple[Segment, int, int, dict]]:
+    """The segments of each text that it is asked for, with the hashes of their anchor and of the whole, and what asks for them."""
+    whole, of, anchors, firsts, lasts, base = _places(texts, length)
+    wanted = {(text, x["h"], x["c"]): x for text, found in enumerate(asked) for x in found}
+    h = _hashes(whole, anchors, anchors + kmer_size(length))
+    # The whole is read only where the anchor is asked for.
+    near = np.flatnonzero(np.isin(h, np.fromiter((key[1] for key in wanted), np.int64, len(wanted))))
+    of, h, anchors, firsts, lasts, base = (x[near] for x in (of, h, anchors, firsts, lasts, base))
+    c = _hashes(whole, firsts, lasts + length)
+    places = ((anchors - base).tolist(), (firsts - base).tolist(), (lasts - base).tolist())
+    for text, anchor_hash, whole_hash, *place in zip(of.tolist(), h.tolist(), c.tolist(), *places, strict=True):
+        if found := wanted.get((text, anchor_hash, whole_hash)):
+            yield Segment(text, *place), anchor_hash, whole_hash, found
 
 
 def _batch(columns, schema: str) -> pa.RecordBatch:
@@ -162,11 +172,13 @@ def _signed(length: int):
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            texts, counts = text_bytes(batch.column(1)), defaultdict(int)
-            rows = batch.column(0).to_pylist()
-            for segment in segments(texts, length):
-                counts[rows[segment.text], *_keys(texts[segment.text], segment, length)] += 1
-            yield _batch(_columns([(*key, n) for key, n in counts.items()], _SIGNED), _SIGNED)
+            whole, of, anchors, firsts, lasts, _ = _places(text_bytes(batch.column(1)), length)
+            keys = [of, _hashes(whole, anchors, anchors + kmer_size(length)), _hashes(whole, firsts, lasts + length)]
+            order = np.lexsort(keys)
+            of, h, c = (key[order] for key in keys)
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(of) != 0) | (np.diff(h) != 0) | (np.diff(c) != 0)])[: len(of)])
+            row = batch.column(0).to_numpy()[of[new]]
+            yield _batch([row, h[new], c[new], np.diff(new, append=len(of))], _SIGNED)
 
     return signed
 
@@ -181,15 +193,12 @@ def _fetched(length: int):
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            texts = text_bytes(batch.column(1))
-            asked = [{(x["h"], x["c"]): (x["n"], x["size"]) for x in wanted} for wanted in batch.column(2).to_pylist()]
-            rows = []
-            for segment in segments(texts, length):
-                text = texts[segment.text]
-                key = _keys(text, segment, length)
-                if found := asked[segment.text].pop(key, None):
-                    data = text[segment.first : segment.last + length]
-                    rows.append((*key, *found, 0, length - kmer_size(length), segment.anchor - segment.first, data))
+            texts, seen, rows = text_bytes(batch.column(1)), set(), []
+            for segment, h, c, found in _asked_segments(texts, batch.column(2).to_pylist(), length):
+                if (segment.text, h, c) not in seen:
+                    seen.add((segment.text, h, c))
+                    data = texts[segment.text][segment.first : segment.last + length]
+                    rows.append((h, c, found["n"], found["size"], 0, length - kmer_size(length), segment.anchor - segment.first, data))
             yield _batch(_columns(rows, _PIECES), _PIECES)
 
     return fetched
@@ -411,15 +420,13 @@ def _cut(length: int):
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in portions(batches):
             texts, found = text_bytes(batch.column(1)), batch.column(2).to_pylist()
-            marked = [{(x["h"], x["c"]): x["marks"] for x in one or ()} for one in found]
+            marked = [one or [] for one in found]
             touched = [text if marks else b"" for text, marks in zip(texts, marked, strict=True)]
             ranges: list[list[tuple[int, int]]] = [[] for _ in texts]
-            for segment in segments(touched, length):
-                key = _keys(texts[segment.text], segment, length)
-                if key in marked[segment.text]:
-                    marks = marked[segment.text][key] or [0, segment.last - segment.first]
-                    for first, last in zip(marks[::2], marks[1::2], strict=True):
-                        ranges[segment.text].append((segment.first + first, segment.first + last + length))
+            for segment, _, _, x in _asked_segments(touched, marked, length):
+                marks = x["marks"] or [0, segment.last - segment.first]
+                for first, last in zip(marks[::2], marks[1::2], strict=True):
+                    ranges[segment.text].append((segment.first + first, segment.first + last + length))
             spans, kept = [], []
             for text, one in zip(texts, ranges, strict=True):
                 runs, at, parts = _merged(one), 0, []

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -147,3 +148,25 @@ def test_blocks_do_not_change_segments(monkeypatch):
     whole = list(repeats.segments(texts))
     monkeypatch.setattr(repeats, "BLOCK", 333)
     assert list(repeats.segments(texts)) == whole
+
+
+def test_only_segments_whose_anchor_is_asked_for_are_hashed_as_a_whole(monkeypatch):
+    rng = random.Random(11)
+    text = bytes(rng.choices(b"abcdefgh", k=5_000))
+    ((row,),) = [batch.column("row").unique().to_pylist() for batch in repeats._signed(200)(iter([_rows([7], [text])]))]
+    keys = [(x["h"], x["c"], x["n"]) for batch in repeats._signed(200)(iter([_rows([7], [text])])) for x in batch.to_pylist()]
+    assert row == 7 and len(keys) > 20 and all(n == 1 for *_, n in keys)
+    hashed = []
+    digest = repeats.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(repeats.xxhash, "xxh3_64_intdigest", lambda data, *seed: hashed.append(len(data)) or digest(data, *seed))
+    h, c, _ = keys[5]
+    asked = pa.array([[{"h": h, "c": c, "n": 1, "size": 2}]])
+    (batch,) = repeats._fetched(200)(iter([_rows([7], [text], asked)]))
+    (found,) = batch.to_pylist()
+    assert (found["h"], found["c"], found["size"]) == (h, c, 2) and found["bytes"] in text
+    assert sum(size >= 200 for size in hashed) == 1
+
+
+def _rows(rows, texts, *more):
+    columns = [pa.array(rows, pa.int64()), pa.array(texts, pa.binary()), *more]
+    return pa.RecordBatch.from_arrays(columns, ["row", "text", "asked"][: len(columns)])
