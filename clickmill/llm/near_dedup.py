@@ -49,6 +49,8 @@ PROBES = 256
 CENTRES = 8
 # Places of a parity sketch, a multiple of 64. Sets that differ in more shingles than this are seldom told apart by it.
 PARITIES = 1024
+# The limit of a member that has none.
+ANY_SIZE = (1 << 63) - 1
 
 _WORDS = WordHash()
 
@@ -159,6 +161,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"))
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """The number of edges and a sum of their hashes."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id, root: for every end of the edges (a, b) the smallest id that it is connected with.
 
@@ -167,8 +174,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     forward = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     current = stored(edges.filter(F.col("a") != F.col("b")).select(*forward).distinct(), "edges")
-    mark = None
-    while True:
+    mark = _mark(current)
+    while mark[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -178,7 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
         following = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         discard(current)
         current = following
-        found = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        found = _mark(current)
         if found == mark:
             break
         mark = found
@@ -229,6 +236,19 @@ def _roots_of(ids: DataFrame, roots: DataFrame, name: str, root: str) -> DataFra
     return ids.join(found, name, "left").withColumn(root, F.coalesce(root, name))
 
 
+def _with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The stored roots after further links (a, b): only the links between roots are followed, not those behind the roots again."""
+    ends = _roots_of(_roots_of(links.select("a", "b"), roots, "a", "root_a"), roots, "b", "root_b")
+    moved = stored(components(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))), "moved")
+    side = small_side(moved, moved.count(), 16)
+    old = roots.select("id", F.col("root").alias("old"))
+    kept = old.join(side.toDF("old", "root"), "old", "left").select("id", F.coalesce("root", "old").alias("root"))
+    # Ids that had no link so far were their own roots.
+    found = stored(kept.unionByName(moved.join(roots, "id", "left_anti")), "roots")
+    discard(moved)
+    return found
+
+
 def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     """key, id, weight, n, root of the buckets whose members lie in several components."""
     return _of_several_roots(_roots_of(members.select("key", "id", "weight", "n"), roots, "id", "root"))
@@ -236,8 +256,13 @@ def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _of_several_roots(rooted: DataFrame) -> DataFrame:
     """The members of the buckets that hold several roots."""
+    return rooted.join(_open_keys(rooted), "key", "left_semi")
+
+
+def _open_keys(rooted: DataFrame) -> DataFrame:
+    """The keys of the buckets that hold several roots."""
     spans = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    return rooted.join(spans.filter("least < most").select("key"), "key", "left_semi")
+    return spans.filter("least < most").select("key")
 
 
 def _shares(active: DataFrame) -> DataFrame:
@@ -294,18 +319,24 @@ def _limited(active: DataFrame, limits: DataFrame) -> DataFrame:
     """The active members without those that can be linked with no member of another component of their bucket, with ``limit``.
 
     A member whose limit is too small for its own size has no partner at all, and goes first with the buckets that it kept open,
-    as only buckets of several roots have two smallest. Of the rest the smallest member of each component decides; the two
-    smallest of different components suffice for all.
+    as only buckets of several roots have two smallest. Of the rest the smallest member of each component decides, and the highest
+    limit of each, as a member has no partner either if it is larger than all others allow; the two smallest and the two highest of
+    different components suffice for all. A bucket that is left with one component all the same closes when the next round asks.
     """
     alone = F.coalesce(SHARE * F.col("n") > SHARE_OF * F.col("limit"), F.lit(False))
     known = active.join(limits, "id", "left").filter(~alone)
-    smallest = known.groupBy("key", "root").agg(F.min("n").alias("n"))
-    first = smallest.groupBy("key").agg(F.min(F.struct("n", "root")).alias("first"))
-    others = smallest.join(first, "key").filter(F.col("root") != F.col("first")["root"])
-    pair = others.groupBy("key", "first").agg(F.min("n").alias("second"))
-    other = F.when(F.col("root") == F.col("first")["root"], F.col("second")).otherwise(F.col("first")["n"])
-    able = F.col("limit").isNull() | (other <= F.col("limit"))
-    return _of_several_roots(known.join(pair, "key").filter(able).drop("first", "second"))
+    reach = F.coalesce("limit", F.lit(ANY_SIZE))
+    spans = known.groupBy("key", "root").agg(F.min("n").alias("least"), F.max(reach).alias("reach"))
+    ends = F.min(F.struct("least", "root")).alias("first"), F.max(F.struct("reach", "root")).alias("widest")
+    others = spans.join(spans.groupBy("key").agg(*ends), "key")
+    pair = others.groupBy("key", "first", "widest").agg(
+        F.min(F.when(F.col("root") != F.col("first")["root"], F.col("least"))).alias("second"),
+        F.max(F.when(F.col("root") != F.col("widest")["root"], F.col("reach"))).alias("next"),
+    )
+    smallest = F.when(F.col("root") == F.col("first")["root"], F.col("second")).otherwise(F.col("first")["least"])
+    highest = F.when(F.col("root") == F.col("widest")["root"], F.col("next")).otherwise(F.col("widest")["reach"])
+    able = (F.col("limit").isNull() | (smallest <= F.col("limit"))) & (F.col("n") <= highest)
+    return known.join(pair.filter("second is not null"), "key").filter(able).drop("first", "widest", "second", "next")
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -337,13 +368,6 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
 
     sets = _sets_of(buckets, texts, width)
 
-    def linked(links: DataFrame, roots: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Links and roots with what the pairs add."""
-        if pairs.isEmpty() or (found := _similar_pairs(pairs, sets)).isEmpty():
-            return links, roots
-        links = stored(links.unionByName(found), "links")
-        return links, stored(components(links), "roots")
-
     # The heaviest centre of each document over all of its buckets; of equal weights the smaller id.
     rank = F.struct("weight", (-F.col("id")).alias("order"))
     centres = buckets.groupBy("key").agg(F.max(rank).alias("centre"))
@@ -351,7 +375,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
     centre = -F.col("centre")["order"]
     pairs = stars.filter(centre != F.col("id")).select(F.least(centre, "id").alias("a"), F.greatest(centre, "id").alias("b"))
     asked = stored(pairs.distinct(), "pairs")
-    links, roots = linked(links, stored(components(links), "roots"), asked)
+    roots = stored(components(links.unionByName(_similar_pairs(asked, sets))), "roots")
 
     # The two heaviest members of the buckets that are still open, then other members, with those of other components.
     members, allowed = buckets, 0
@@ -363,7 +387,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
             discard(active)
             discard(limits)
             active = limited
-        if active.isEmpty():
+        if _open_keys(active).isEmpty():
             break
         if allowed:
             # Members outside of the largest component; those of the smallest components before others.
@@ -386,7 +410,8 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width
         fresh = crossed.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
         pairs = stored(fresh.join(asked, ["a", "b"], "left_anti"), "pairs")
         before, asked = asked, stored(asked.unionByName(pairs), "asked")
-        links, roots = linked(links, roots, pairs)
+        if not pairs.isEmpty() and not (found := _similar_pairs(pairs, sets)).isEmpty():
+            roots = _with_links(roots, found)
         # A member that was a centre has been compared with all others of its bucket that it can be linked with.
         rest = active.select("key", "id", "weight", "n").join(chosen.select("key", "id"), ["key", "id"], "left_anti")
         if members is not buckets:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 from clickmill.llm.common import mixed, table
+from clickmill.llm import near_dedup
 from clickmill.llm.near_dedup import _limited, _of_several_roots, components, near_duplicates, parity_sketch
 
 
@@ -127,3 +128,32 @@ def test_a_bucket_closes_with_its_last_member_of_another_root(spark):
     found = _limited(active, limits)
     assert sorted((r["key"], r["id"]) for r in found.collect()) == [(2, 1), (2, 4)]
     assert _joins(found) <= 11
+
+
+def test_open_buckets_are_asked_for_once_a_round(spark, documents, monkeypatch):
+    rng, base, asked = random.Random(8), [f"b{i}" for i in range(60)], []
+    rows = [(i, edited(base, rng.choice([0, 1, 2, 3, 4]), rng)) for i in range(60)]
+    real, limits = near_dedup._of_several_roots, near_dedup._limits
+    monkeypatch.setattr(near_dedup, "_of_several_roots", lambda rooted: asked.append("join") or real(rooted))
+    monkeypatch.setattr(near_dedup, "_limits", lambda active, sets: asked.append("round") or limits(active, sets))
+    check(near_duplicates(documents(*rows)), rows)
+    # The last question finds no open bucket.
+    assert asked.count("round") >= 1 and asked.count("join") <= asked.count("round") + 1
+
+
+def test_further_links_join_components_by_their_roots(spark, monkeypatch):
+    rng = random.Random(4)
+    old = [(rng.randrange(60), rng.randrange(60)) for _ in range(25)]
+    new = [(rng.randrange(80), rng.randrange(80)) for _ in range(15)] + [(3, 3)]
+    frame = lambda pairs: spark.createDataFrame(pairs, "a bigint, b bigint")
+    wanted = {r["id"]: r["root"] for r in components(frame(old + new)).collect()}
+    roots = components(frame(old))
+    followed = []
+    monkeypatch.setattr(near_dedup, "components", lambda edges: followed.append(edges.count()) or components(edges))
+    found = [tuple(r) for r in near_dedup._with_links(roots, frame(new)).collect()]
+    assert len(dict(found)) == len(found) and dict(found) == wanted
+    assert followed == [len(new)]
+
+
+def test_nothing_is_followed_without_links(spark):
+    assert components(spark.createDataFrame([(4, 4)], "a bigint, b bigint")).count() == 0
