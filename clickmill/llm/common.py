@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,6 +139,32 @@ def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     return df.orderBy(number, *key).limit(rows)
 
 
+# What operators keep in a worker from task to task. Spark hands a worker the tasks of any operator, one after another.
+_KEPT: list = []
+
+
+def kept(cache):
+    """The cache, an object with a length and ``clear``, known to ``claim``."""
+    _KEPT.append(cache)
+    return cache
+
+
+def claim(*caches) -> None:
+    """Called where a task begins: empty what other operators have left in this worker, all kept caches but these."""
+    others = [cache for cache in _KEPT if len(cache) and not any(cache is own for own in caches)]
+    for cache in others:
+        cache.clear()
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Return the freed memory of Arrow and of the C library to the system, which a waiting worker would hold on to."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class WordHash(dict):
     """64-bit hashes of byte strings, kept for the words seen before."""
 

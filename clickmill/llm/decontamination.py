@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import stored, windows
+from clickmill.llm.common import claim, kept, stored, windows
 from clickmill.llm.tokens import portions, text_bytes
 
 WIDTH = 5
@@ -73,6 +73,9 @@ class TemplateWords:
     def __init__(self) -> None:
         self.clear()
 
+    def __len__(self) -> int:
+        return len(self.parts)
+
     def clear(self) -> None:
         self.parts: dict[bytes, bytes] = {}
         # Per template word: the hash of the lowered word, and whether it is a number, a unit, name-like, and ends a sentence.
@@ -116,7 +119,7 @@ class TemplateWords:
         return np.where(kind == _LITERAL, value, kind.astype(np.uint64)), kind, value, begins
 
 
-_WORDS = TemplateWords()
+_WORDS = kept(TemplateWords())
 
 
 def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
@@ -127,6 +130,7 @@ def _template_windows(bitmap: bytes | None, widths: Iterable[int] = ()):
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(_WORDS)
         known = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
 
         def passes(hashes: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import bounded_batches, mixed, stored
+from clickmill.llm.common import bounded_batches, claim, mixed, stored
 from clickmill.llm.tokens import portions
 
 SAMPLE_DOCS = 2_000  # for each language
@@ -118,6 +118,7 @@ def _evidence(model: np.ndarray):
     chance = -np.log(float(1 << BUCKET_BITS))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         table = np.ascontiguousarray(model.T.astype(np.float32))
         for batch in portions(batches, 4):
             sizes, logs = [], []

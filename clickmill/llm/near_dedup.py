@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import WordHash, discard, hashes, mixed, small_side, stored, windows
+from clickmill.llm.common import WordHash, claim, discard, hashes, kept, mixed, small_side, stored, windows
 from clickmill.llm.tokens import portions, text_bytes
 
 SHINGLE_WORDS = 5
@@ -52,7 +52,7 @@ PARITIES = 1024
 # The limit of a member that has none.
 ANY_SIZE = (1 << 63) - 1
 
-_WORDS = WordHash()
+_WORDS = kept(WordHash())
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
@@ -106,6 +106,7 @@ def _band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _signed(bands: int, rows: int, width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(_WORDS)
         probes = _probes(bands * rows)
         for batch in portions(batches):
             sizes, digests, keys = [], [], []
@@ -132,6 +133,7 @@ def parity_sketch(shingles: np.ndarray, places: int = PARITIES) -> np.ndarray:
 
 def _full_sets(width: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(_WORDS)
         for batch in portions(batches):
             found = list(shingle_sets(text_bytes(batch.column(1)), width))
             columns = [
@@ -146,6 +148,7 @@ def _full_sets(width: int):
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose full sets are similar enough."""
+    claim()
     for batch in batches:
         kept = []
         for row, (left, right) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
@@ -278,6 +281,7 @@ def _outside_largest(active: DataFrame) -> DataFrame:
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first two columns, and every shingle of the set in the third."""
+    claim()
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.llm import boosting
-from clickmill.llm.common import sampled
+from clickmill.llm.common import claim, sampled
 from clickmill.llm.spans import Cover, Span, free_of, joined, sha256
 from clickmill.llm.tokens import portions
 
@@ -320,6 +320,7 @@ def redacted(text: str, model: Model) -> str:
 
 def _redacted(model: Model, place: int):
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for batch in portions(batches, place):
             texts = [None if t is None else redacted(t, model) for t in batch.column(place).to_pylist()]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))

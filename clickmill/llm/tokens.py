@@ -16,6 +16,8 @@ import pyarrow.compute
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
+from clickmill.llm.common import claim, give_back, kept
+
 # Known parts of a worker; beyond this number it forgets all but the first CORE_PARTS, which hold most of the frequent ones.
 CACHE_PARTS = 500_000
 CORE_PARTS = 250_000
@@ -153,18 +155,20 @@ class PieceEncoder:
         return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
 
 
-_ENCODERS: dict[tuple, PartEncoder | PieceEncoder] = {}
+_ENCODERS: dict[tuple, PartEncoder | PieceEncoder] = kept({})
 
 
 def encoder(path: str, spaced: bool, plain: bool = False) -> PartEncoder:
-    """One encoder for each vocabulary and worker."""
+    """One encoder for each vocabulary and worker, while its tasks follow each other."""
+    claim(_ENCODERS)
     if (path, spaced, plain) not in _ENCODERS:
         _ENCODERS[path, spaced, plain] = PartEncoder(path, spaced, plain)
     return _ENCODERS[path, spaced, plain]
 
 
 def piece_encoder(path: str) -> PieceEncoder:
-    """One encoder for each vocabulary and worker."""
+    """One encoder for each vocabulary and worker, while its tasks follow each other."""
+    claim(_ENCODERS)
     if (path,) not in _ENCODERS:
         _ENCODERS[path,] = PieceEncoder(path)
     return _ENCODERS[path,]
@@ -185,3 +189,5 @@ def portions(batches: Iterator[pa.RecordBatch], texts: int = 1) -> Iterator[pa.R
         starts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
         for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(start, end - start)
+        del batch
+    give_back()

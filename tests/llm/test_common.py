@@ -1,7 +1,9 @@
 """Helpers that the operators share."""
 
 import pyarrow as pa
+import public_tokenizers
 
+from clickmill.llm import decontamination, near_dedup, packing, pii, tokens
 from clickmill.llm.common import BATCH_BYTES, stored
 
 
@@ -18,3 +20,30 @@ def test_stored_frames_reach_python_in_bounded_batches(spark):
     assert sum(row["n"] for row in found) == 60
     assert max(row["bytes"] for row in found) <= BATCH_BYTES + 500_100
     assert spark.conf.get(option) == before
+
+
+def test_a_worker_gives_up_what_other_operators_left():
+    def run(function, **more):
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["one two three four five six seven"]} | more)
+        return sum(found.num_rows for found in function(iter([batch])))
+
+    def held():
+        kept = {"packing": tokens._ENCODERS, "near_dedup": near_dedup._WORDS, "decontamination": decontamination._WORDS.parts}
+        return {name for name, cache in kept.items() if cache}
+
+    def pack():
+        return run(packing._pieces_of(public_tokenizers.path("byte_bpe_50k.json"), 0, 2048))
+
+    # As the stages of the pipeline follow each other in one worker, over one input and then the next.
+    assert pack() == 1 and held() == {"packing"}
+    assert run(near_dedup._signed(32, 4, 5)) == 1 and held() == {"near_dedup"}
+    assert run(decontamination._template_windows(None)) == 3 and held() == {"decontamination"}
+    assert pack() == 1 and held() == {"packing"}
+    assert run(near_dedup._full_sets(5)) == 1 and held() == {"near_dedup"}
+    assert list(near_dedup._linked(iter([]))) == [] and held() == set()
+    assert pack() == 1 and held() == {"packing"}
+    assert run(pii._redacted(pii.Model([], {}), 1)) == 1 and held() == set()
+    assert pack() == 1 and held() == {"packing"}
+    # Tasks of one operator keep what it knows.
+    codes = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"), spaced=True)
+    assert pack() == 1 and tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"), spaced=True) is codes and codes.known
