@@ -22,7 +22,7 @@ BROADCAST_BYTES = 16 << 20
 FREQUENT = 20_000
 # Bytes of rows that Spark hands to a Python worker at once. A batch lies in the executor's memory several times: as a growing
 # buffer, on its way, and in the worker; with the default of 64 MB that is a large part of an executor for each task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 # Entries after which a worker empties its cache of words.
 CACHE_WORDS = 400_000
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,9 @@ ALIGNED_WINDOWS = 9
 # Bits of the bitmap: so many for each window of the benchmark, as a power of two between these two numbers (512 KB, 16 MB).
 BITS_A_WINDOW = 16
 BITMAP_BITS, MOST_BITMAP_BITS = 1 << 22, 1 << 27
-# White-space parts after which a worker empties its cache of them.
-CACHE_WORDS = 600_000
+# White-space parts that a worker knows; beyond this number it forgets all but the first CORE_WORDS, which hold most of the frequent ones.
+CACHE_WORDS = 300_000
+CORE_WORDS = 150_000
 
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound"
@@ -82,11 +84,20 @@ class TemplateWords:
         self.value = np.zeros(0, np.uint64)
         self.flags = np.zeros((0, 4), bool)
 
+    def forget(self) -> None:
+        """Keep the first parts only; template words are numbered in the order of the parts."""
+        self.parts = dict(islice(self.parts.items(), CORE_WORDS))
+        words = sum(map(len, self.parts.values())) // 4
+        if words > CACHE_WORDS:
+            self.clear()
+        else:
+            self.value, self.flags = self.value[:words].copy(), self.flags[:words].copy()
+
     def learn(self, parts: set[bytes]) -> None:
         """Take in new parts, all at once."""
         # A part may hold many template words where a script has no blanks.
         if max(len(self.parts), len(self.value) // 2) > CACHE_WORDS:
-            self.clear()
+            self.forget()
         values, flags, at = [], [], len(self.value)
         for part in parts.difference(self.parts):
             core = part.rstrip(b".,;:!?")

@@ -68,6 +68,7 @@ def visible_text(html: str) -> str:
 
 
 def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim()
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

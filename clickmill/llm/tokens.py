@@ -22,7 +22,7 @@ from clickmill.llm.common import claim, give_back, kept
 CACHE_PARTS = 500_000
 CORE_PARTS = 250_000
 # Texts that are worked on at a time, so that a worker's memory does not follow the size of its batches.
-PORTION_BYTES = 2 << 20
+PORTION_BYTES = 1 << 20
 # New words that the library is asked for in one text.
 JOINED_WORDS = 64
 

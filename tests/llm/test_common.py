@@ -47,3 +47,26 @@ def test_a_worker_gives_up_what_other_operators_left():
     # Tasks of one operator keep what it knows.
     codes = tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"), spaced=True)
     assert pack() == 1 and tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"), spaced=True) is codes and codes.known
+
+
+def test_template_words_keep_the_first_parts_when_there_are_too_many(monkeypatch):
+    def found(words):
+        words.clear()
+        results = []
+        for at in range(0, 60, 3):
+            # Frequent parts, parts of several template words or none, and ever new ones.
+            texts = [[b"the", b"Seven", b"--", b"well-known", b"12", b"km", *(b"new%d-x" % i for i in range(at, at + 3))]]
+            words.learn(set().union(*texts))
+            results.append([column.tolist() for column in words.template(texts)])
+            assert len(words.value) == len(words.flags) == sum(map(len, words.parts.values())) // 4
+        return results
+
+    wanted = found(decontamination.TemplateWords())
+    monkeypatch.setattr(decontamination, "CACHE_WORDS", 16)
+    monkeypatch.setattr(decontamination, "CORE_WORDS", 9)
+    words = decontamination.TemplateWords()
+    assert found(words) == wanted
+    assert len(words.parts) <= 20 and {b"the", b"well-known", b"--"} <= set(words.parts)
+    # Parts of very many template words leave no core.
+    monkeypatch.setattr(decontamination, "CACHE_WORDS", 4)
+    assert found(words) == wanted
